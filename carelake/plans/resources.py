@@ -701,15 +701,15 @@ def _():
         "code_text": col("code.text"),
         "patient_id": _ref("patient", "Patient"),
         "encounter_id": _ref("encounter", "Encounter"),
-        "onset_datetime": C.parse_timestamp(col("onsetDateTime"), dates=True),
+        "onset_datetime": C.parse_timestamp(col("onsetDateTime")),
         "onset_age_value": col("onsetAge.value"),
         "onset_age_unit": col("onsetAge.unit"),
         "onset_period_start": C.date_prefix(col("onsetPeriod.start")),
         "onset_period_end": C.date_prefix(col("onsetPeriod.end")),
-        "recorded_date": C.parse_timestamp(col("recordedDate"), dates=True),
+        "recorded_date": C.parse_timestamp(col("recordedDate")),
         "recorder_practitioner_id": _ref("recorder", "Practitioner"),
         "asserter_practitioner_id": _ref("asserter", "Practitioner"),
-        "last_occurrence": C.parse_timestamp(col("lastOccurrence"), dates=True),
+        "last_occurrence": C.parse_timestamp(col("lastOccurrence")),
         "note": C.as_json(col("note")),
         "reactions": C.as_json(col("reaction")),
         "meta_source": col("meta.source"),
