@@ -28,16 +28,11 @@ DOCUMENT_CLASS = {
     "75425-9": "cardiology",
 }
 
-# Timestamp patterns, most specific first (fixed values).
-ISO_PATTERNS = (
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ss'Z'",
-    "yyyy-MM-dd'T'HH:mm:ss",
-)
-DATE_ONLY = ("yyyy-MM-dd",)
-SHORT_DATES = ("M/d/yy", "M/d/yyyy")
+# Accepted timestamp forms (fixed values): with fraction and offset, with offset,
+# with neither; the same or a bare date; month/day with a 2- or 4-digit year.
+ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSSXXX][XXX]"
+ISO_OR_DATE_PATTERN = "yyyy-MM-dd['T'HH:mm:ss[.SSSSSSSSSXXX][XXX]]"
+SHORT_DATE_PATTERN = "M/d/[yyyy][yy]"
 
 # Cohort (fixed values).
 COHORT_CODE = "C61"

@@ -23,12 +23,15 @@ def parse_timestamp(text: Column, dates: bool = False, short: bool = False) -> C
     """Timestamp from ISO text with or without fraction and offset.
 
     ``dates`` also accepts ``yyyy-MM-dd``; ``short`` also accepts ``M/d/yy`` and
-    ``M/d/yyyy``.  Text in no known form gives NULL.
+    ``M/d/yyyy``.  Text in no known form gives NULL.  Optional sections let one
+    parse cover all ISO forms, since every failed attempt costs an exception.
     """
-    patterns = codes.ISO_PATTERNS
-    patterns += codes.DATE_ONLY if dates else ()
-    patterns += codes.SHORT_DATES if short else ()
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in patterns])
+    iso = codes.ISO_OR_DATE_PATTERN if dates else codes.ISO_PATTERN
+    parsed = F.try_to_timestamp(text, F.lit(iso))
+    if not short:
+        return parsed
+    slashed = F.try_to_timestamp(text, F.lit(codes.SHORT_DATE_PATTERN))
+    return F.when(text.contains("/"), slashed).otherwise(parsed)
 
 
 def parse_date(text: Column) -> Column:

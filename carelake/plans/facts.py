@@ -171,33 +171,35 @@ def practitioners(t: Tables, as_of=None) -> DataFrame:
 # --- encounters ---------------------------------------------------------------
 
 
-def encounter_diagnoses(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Per encounter: number of conditions, primary code, and distinct code texts.
+def encounter_diagnoses(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Per encounter: number of conditions, and its distinct codes with first onset.
 
-    One row per encounter each; texts are ordered by their first onset.
+    Codes are reduced to distinct ones in an aggregation spread over
+    (encounter, code) before they meet at the encounter.
     """
     conditions = t["conditions"].filter(F.col("encounter_id").isNotNull()).select(
         "condition_id", "encounter_id", "onset_datetime"
     )
     coded = conditions.join(t["condition_codes"].drop("meta_last_updated"), "condition_id", "left")
     counts = nest.distinct_counts(conditions, "encounter_id", "condition_id")
-    named = coded.withColumn("display", F.coalesce("code_display", "code_text"))
-    primary = nest.primary_code(
-        named.filter(F.col("code_code").isNotNull()), "encounter_id", ENCOUNTER_SYSTEMS,
-        ["code_code", "display", "code_system"],
-    )
-    system = F.col("code_system")
+    distinct = coded.groupBy(
+        "encounter_id", "code_system", "code_code", F.coalesce("code_display", "code_text").alias("display")
+    ).agg(F.min("onset_datetime").alias("onset"))
+    return counts, distinct
+
+
+def _diagnosis_text(x: Column) -> Column:
+    system = x["system"]
     label = (
         F.when(system == codes.ICD10CM, "ICD10:").when(system == codes.ICD9CM, "ICD9:")
         .when(system == codes.SNOMED, "SNOMED:").otherwise(F.concat(F.coalesce(system, F.lit("UNK")), F.lit(":")))
     )
-    text = F.concat(label, F.coalesce("code_code", F.lit("")), F.lit(":"), F.coalesce("display", F.lit("")))
-    texts = named.groupBy("encounter_id", text.alias("text")).agg(F.min("onset_datetime").alias("onset"))
-    return counts, primary, texts
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    return F.concat(label, blank(x["code"]), F.lit(":"), blank(x["display"]))
 
 
 def encounters(t: Tables, as_of=None) -> DataFrame:
-    counts, primary, texts = encounter_diagnoses(t)
+    counts, diagnoses = encounter_diagnoses(t)
     coded = lambda p: _cols(p, "code", "system", "display", "text")
     who = part(t["encounter_participants"], "encounter_id", **_cols("participant", "type", "id", "display"))
     where = part(t["encounter_locations"], "encounter_id", id=F.col("location_id"))
@@ -212,14 +214,22 @@ def encounters(t: Tables, as_of=None) -> DataFrame:
             "_who": who, "_where": where,
             "reasons": part(t["encounter_reasons"], "encounter_id", **coded("reason")),
             "types": part(t["encounter_types"], "encounter_id", **coded("type")),
-            "_texts": part(texts, "encounter_id", no_onset=F.col("onset").isNull(), onset=F.col("onset"), text=F.col("text")),
+            "_codes": part(
+                diagnoses, "encounter_id", no_code=F.col("code_code").isNull(),
+                order=C.system_priority(F.col("code_system"), ENCOUNTER_SYSTEMS), code=F.col("code_code"),
+                display=F.col("display"), system=F.col("code_system"), onset=F.col("onset"),
+            ),
             "_discharge": discharge,
         },
         singles={
             "_count": part(counts, "encounter_id", total=F.col("total")),
-            "_primary": part(primary, "encounter_id", **{c: F.col(c) for c in ("code_code", "display", "code_system")}),
         },
     ).filter(F.col("status") != "cancelled")
+    primary = F.get("_codes", F.lit(0))
+    texts = F.array_sort(F.transform("_codes", lambda x: F.struct(
+        x["onset"].isNull().alias("no_onset"), x["onset"].alias("onset"), _diagnosis_text(x).alias("text")
+    )))
+    texts = F.array_distinct(F.transform(texts, lambda x: x["text"]))
     last_discharge = F.element_at(nest.null_if_empty(F.col("_discharge")), -1)
     who_text = lambda x: F.concat(
         x["type"], F.lit(":"), x["id"],
@@ -244,11 +254,11 @@ def encounters(t: Tables, as_of=None) -> DataFrame:
         some(F.col("_who"), _count_distinct(lead, "id")).alias("primary_performer_count"),
         nest.null_if_empty(F.col("reasons")).alias("reasons"),
         nest.null_if_empty(F.col("types")).alias("types"),
-        nest.joined_text(F.col("_texts"), lambda x: x["text"], " | ").alias("all_diagnoses"),
+        F.when(F.size("_codes") > 0, F.array_join(texts, " | ")).alias("all_diagnoses"),
         F.col("_count.total").alias("diagnosis_count"),
-        F.col("_primary.code_code").alias("primary_diagnosis_code"),
-        F.col("_primary.display").alias("primary_diagnosis_display"),
-        F.col("_primary.code_system").alias("primary_diagnosis_code_system"),
+        *[primary[f].alias(n) for f, n in (
+            ("code", "primary_diagnosis_code"), ("display", "primary_diagnosis_display"),
+            ("system", "primary_diagnosis_code_system"))],
         C.minutes_between(start, end).alias("duration_minutes"),
         F.col("status").isin("finished", "cancelled", "entered-in-error").alias("is_complete"),
         C.days_between(F.coalesce(end, start), today(as_of)).alias("days_since_encounter"),
