@@ -1 +1,6 @@
 """Registered queries: every operator run on the driver tables, with its oracle."""
+
+
+def load_all() -> None:
+    """Import every module that registers queries."""
+    from carelake.catalog import normalizers  # noqa: F401
