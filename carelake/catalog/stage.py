@@ -17,7 +17,7 @@ from carelake.plans import facts, resources  # noqa: F401  (registers the rules)
 from carelake.session import configure, shared_folder
 from carelake.sources import bridge
 
-AS_OF = "2024-06-01"
+AS_OF = "2001-06-01"
 _written: dict[tuple[str, str], str] = {}
 
 

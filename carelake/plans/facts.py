@@ -207,7 +207,8 @@ def encounters(t: Tables, as_of=None) -> DataFrame:
         t["encounter_hospitalization"], "encounter_id",
         text=F.col("discharge_disposition_text"), code=F.col("discharge_code"), system=F.col("discharge_system"),
     )
-    main = series.recency_rank(t["encounters"], "patient_id", "start_time", "patient_encounter_rank")
+    kept = t["encounters"].filter(F.col("status") != "cancelled")
+    main = series.recency_rank(kept, "patient_id", "start_time", "patient_encounter_rank")
     df = nest.assemble(
         main, "encounter_id",
         lists={
@@ -224,7 +225,7 @@ def encounters(t: Tables, as_of=None) -> DataFrame:
         singles={
             "_count": part(counts, "encounter_id", total=F.col("total")),
         },
-    ).filter(F.col("status") != "cancelled")
+    )
     primary = F.get("_codes", F.lit(0))
     texts = F.array_sort(F.transform("_codes", lambda x: F.struct(
         x["onset"].isNull().alias("no_onset"), x["onset"].alias("onset"), _diagnosis_text(x).alias("text")
