@@ -3,4 +3,4 @@
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from carelake.catalog import marts, normalizers  # noqa: F401
+    from carelake.catalog import marts, normalizers, reports  # noqa: F401

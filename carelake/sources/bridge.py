@@ -45,7 +45,7 @@ LAB_CODES = (
     "29463-7", "35741-8",
 )
 LAB_UNITS = (
-    "ng/mL", "ng/dL", "U/L", "U/L", "mg/dL", "mL/min", "mL/min", "g/dL", "%", "10*3/uL", "%",
+    "ng/mL", "ng/dL", "U/L", "U/L", "mg/dL", "mL/min", "mL/min", "g/dL", "%", "10*3/uL", "10*3/uL",
     "mg/dL", "g/dL", "mmol/L", "/uL", "copies/mL", "%", "/min", "kg", "ng/mL",
 )
 DRUGS = {
