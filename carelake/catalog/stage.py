@@ -33,6 +33,11 @@ def _stage(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     return spark.read.parquet(_written[key])
 
 
+def path_of(spark: SparkSession, sf: str, name: str) -> str:
+    """Folder of a staged input."""
+    return _written[(spark.sparkContext.applicationId, f"{sf}:{name}")]
+
+
 def resource(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """Nested resource."""
     return _stage(spark, sf, name, lambda: bridge.resource(spark, sf, name))
