@@ -19,44 +19,53 @@ def t(spark, sf, name):
     return bridge.load(spark, sf, name)
 
 
-@query("agg_nest_children", "SELECT l_orderkey, string_agg(concat_ws('|', l_linenumber, l_partkey, CAST(l_quantity AS BIGINT)), ';' "
-       "ORDER BY l_linenumber, l_partkey, l_quantity) AS lines FROM lineitem GROUP BY l_orderkey")
+# Arrays are built from tables flattened from resources: a group never exceeds the
+# array of the one resource row it came from.
+
+
+@query("agg_nest_children", oracle("""SELECT encounter_id, string_agg(concat_ws('|', participant_type, participant_id), ';' ORDER BY participant_type, participant_id)
+ AS participants FROM encounter_participants GROUP BY encounter_id"""))
 def _(spark, sf):
-    return plain(nest.nest_children(t(spark, sf, "lineitem"), "l_orderkey", "lines", n=col("l_linenumber"), part=col("l_partkey"), quantity=col("l_quantity").cast("long")))
+    return plain(nest.nest_children(
+        stage.table(spark, sf, "encounter_participants"), "encounter_id", "participants", kind=col("participant_type"), id=col("participant_id")))
 
 
-@query("agg_nest_distinct", "SELECT o_custkey, string_agg(concat_ws('|', o_orderstatus, o_orderpriority), ';' ORDER BY o_orderstatus, o_orderpriority) AS kinds "
-       "FROM (SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders) GROUP BY o_custkey")
+@query("agg_nest_distinct", oracle("""SELECT diagnostic_report_id, string_agg(DISTINCT observation_id, ';' ORDER BY observation_id) AS results
+ FROM diagnostic_report_results GROUP BY diagnostic_report_id"""))
 def _(spark, sf):
-    return plain(nest.nest_children(t(spark, sf, "orders"), "o_custkey", "kinds", distinct=True, status=col("o_orderstatus"), priority=col("o_orderpriority")))
+    return plain(nest.nest_children(
+        stage.table(spark, sf, "diagnostic_report_results"), "diagnostic_report_id", "results", distinct=True, id=col("observation_id")))
 
 
-@query("agg_assemble", """SELECT c_custkey, c_name, coalesce(o.v, '') AS orders, coalesce(s.v, '') AS statuses FROM customer
- LEFT JOIN (SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ';' ORDER BY o_orderkey) AS v FROM orders GROUP BY 1) o ON c_custkey = o.o_custkey
- LEFT JOIN (SELECT o_custkey, string_agg(DISTINCT o_orderstatus, ';' ORDER BY o_orderstatus) AS v FROM orders GROUP BY 1) s ON c_custkey = s.o_custkey""")
+@query("agg_assemble", oracle("""SELECT e.encounter_id, e.status, coalesce(l.v, '') AS locations, coalesce(p.v, '') AS practitioners FROM encounters e
+ LEFT JOIN (SELECT encounter_id, string_agg(location_id, ';' ORDER BY location_id) AS v FROM encounter_locations GROUP BY 1) l ON e.encounter_id = l.encounter_id
+ LEFT JOIN (SELECT encounter_id, string_agg(DISTINCT participant_id, ';' ORDER BY participant_id) AS v FROM encounter_participants GROUP BY 1) p ON e.encounter_id = p.encounter_id"""))
 def _(spark, sf):
-    orders = t(spark, sf, "orders")
+    tables = stage.Tables(spark, sf)
     return plain(nest.assemble(
-        t(spark, sf, "customer").select("c_custkey", "c_name"), "c_custkey",
-        lists={"orders": nest.part(orders, "o_custkey", id=col("o_orderkey"))},
-        sets={"statuses": nest.part(orders, "o_custkey", status=col("o_orderstatus"))}))
+        tables["encounters"].select("encounter_id", "status"), "encounter_id",
+        lists={"locations": nest.part(tables["encounter_locations"], "encounter_id", id=col("location_id"))},
+        sets={"practitioners": nest.part(tables["encounter_participants"], "encounter_id", id=col("participant_id"))}))
 
 
-@query("agg_typed_json", """SELECT l_orderkey, '[' || string_agg('{"line":' || l_linenumber || ',"quantity":' || CAST(l_quantity AS BIGINT) ||
- CASE WHEN l_returnflag = 'R' THEN ',"returned":true' ELSE '' END || '}', ',' ORDER BY l_linenumber, l_quantity, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) || ']' AS lines
- FROM lineitem GROUP BY l_orderkey""")
+@query("agg_typed_json", oracle("""SELECT observation_id, '[' || string_agg('{"code":"' || component_code || '"' || CASE WHEN component_value_quantity_value IS NOT NULL
+ THEN ',"value":' || CAST(component_value_quantity_value AS BIGINT) ELSE '' END || CASE WHEN component_data_absent_reason_code IS NOT NULL THEN ',"absent":true' ELSE '' END
+ || '}', ',' ORDER BY component_code) || ']' AS components FROM observation_components GROUP BY observation_id"""))
 def _(spark, sf):
     nested = nest.nest_children(
-        t(spark, sf, "lineitem"), "l_orderkey", "lines", line=col("l_linenumber"), quantity=col("l_quantity").cast("long"),
-        returned=F.when(col("l_returnflag") == "R", F.lit(True)))
+        stage.table(spark, sf, "observation_components"), "observation_id", "components", code=col("component_code"),
+        value=col("component_value_quantity_value").cast("long"), absent=F.when(col("component_data_absent_reason_code").isNotNull(), F.lit(True)))
     return nest.to_json_columns(nested)
 
 
-@query("agg_text_list", "SELECT o_custkey, string_agg(o_orderstatus || ':' || o_orderkey, ' | ' ORDER BY o_orderpriority, o_orderkey) AS text FROM orders GROUP BY o_custkey")
+@query("agg_text_list", oracle("""SELECT patient_id, string_agg(coalesce(address_text, city), ' | ' ORDER BY CASE address_use WHEN 'home' THEN 1 WHEN 'work' THEN 2 ELSE 3 END)
+ AS text FROM patient_addresses GROUP BY patient_id"""))
 def _(spark, sf):
-    nested = nest.nest_children(t(spark, sf, "orders"), "o_custkey", "items", p=col("o_orderpriority"), k=col("o_orderkey"), s=col("o_orderstatus"))
-    text = nest.joined_text(col("items"), lambda x: F.concat(x["s"], F.lit(":"), x["k"].cast("string")), " | ")
-    return plain(nested.select("o_custkey", text.alias("text")))
+    use = col("address_use")
+    nested = nest.nest_children(
+        stage.table(spark, sf, "patient_addresses"), "patient_id", "items",
+        order=F.when(use == "home", 1).when(use == "work", 2).otherwise(3), text=F.coalesce("address_text", "city"))
+    return plain(nested.select("patient_id", nest.joined_text(col("items"), lambda x: x["text"], " | ").alias("text")))
 
 
 @query("agg_distinct_text", "SELECT user_id, string_agg(DISTINCT event_type, ', ' ORDER BY event_type) AS kinds FROM events GROUP BY user_id")

@@ -1,9 +1,9 @@
 """Ordered series per key, laid out so that one very long series still spreads.
 
 A window over a whole key would put all rows of a hot key in one task.  Here
-rows are windowed inside (key, day), and what earlier or later days contribute
-comes from a per-day summary, whose windows hold at most one row per calendar
-day and key.  Results equal those of the plain window.
+rows are windowed inside (key, hour), and what earlier or later hours contribute
+comes from an hourly summary, whose windows hold at most one row per hour of the
+calendar and key.  Results equal those of the plain window.
 """
 
 from __future__ import annotations
@@ -13,31 +13,31 @@ from pyspark.sql import functions as F
 
 from carelake.functions import codes
 
-DAY = "_day"
+SLOT = "_slot"
 
 
-def _with_day(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumn(DAY, F.to_date(F.col(ts)))
+def _with_slot(df: DataFrame, ts: str, unit: str = "hour") -> DataFrame:
+    return df.withColumn(SLOT, F.date_trunc(unit, F.col(ts)))
 
 
 def _attach(df: DataFrame, summary: DataFrame, key: str) -> DataFrame:
-    """Join a per-(key, day) summary; rows with no day match the NULL day."""
-    summary = summary.withColumnsRenamed({key: "_k", DAY: "_d"})
-    same = F.col(key).eqNullSafe(F.col("_k")) & F.col(DAY).eqNullSafe(F.col("_d"))
-    return df.join(summary, same, "left").drop("_k", "_d")
+    """Join a per-(key, slot) summary; rows with no time match the NULL slot."""
+    summary = summary.withColumnsRenamed({key: "_k", SLOT: "_s"})
+    same = F.col(key).eqNullSafe(F.col("_k")) & F.col(SLOT).eqNullSafe(F.col("_s"))
+    return df.join(summary, same, "left").drop("_k", "_s")
 
 
 def recency_rank(df: DataFrame, key: str, ts: str, name: str) -> DataFrame:
     """``rank()`` per key, newest first, rows without time before all others."""
-    df = _with_day(df, ts)
-    inside = F.rank().over(Window.partitionBy(key, DAY).orderBy(F.col(ts).desc_nulls_first()))
-    newer = Window.partitionBy(key).orderBy(F.col(DAY).desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    df = _with_slot(df, ts)
+    inside = F.rank().over(Window.partitionBy(key, SLOT).orderBy(F.col(ts).desc_nulls_first()))
+    newer = Window.partitionBy(key).orderBy(F.col(SLOT).desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     offset = (
-        df.groupBy(key, DAY).agg(F.count("*").alias("_rows"))
-        .select(key, DAY, F.coalesce(F.sum("_rows").over(newer), F.lit(0)).alias("_newer"))
+        df.groupBy(key, SLOT).agg(F.count("*").alias("_rows"))
+        .select(key, SLOT, F.coalesce(F.sum("_rows").over(newer), F.lit(0)).alias("_newer"))
     )
     out = _attach(df.withColumn("_inside", inside), offset, key)
-    return out.withColumn(name, (F.col("_inside") + F.col("_newer")).cast("int")).drop("_inside", "_newer", DAY)
+    return out.withColumn(name, (F.col("_inside") + F.col("_newer")).cast("int")).drop("_inside", "_newer", SLOT)
 
 
 def previous_row(df: DataFrame, key: str, ts: str, tie: str, carry: dict[str, str]) -> DataFrame:
@@ -45,49 +45,49 @@ def previous_row(df: DataFrame, key: str, ts: str, tie: str, carry: dict[str, st
 
     ``carry`` maps source columns to the names of the lagged columns.
     """
-    df = _with_day(df, ts)
+    df = _with_slot(df, ts)
     values = F.struct(*[F.col(c).alias(n) for c, n in carry.items()])
     order = F.struct(F.col(ts), F.col(tie))
-    inside = Window.partitionBy(key, DAY).orderBy(F.col(ts).asc_nulls_first(), F.col(tie))
-    by_day = Window.partitionBy(key).orderBy(F.col(DAY).asc_nulls_first())
+    inside = Window.partitionBy(key, SLOT).orderBy(F.col(ts).asc_nulls_first(), F.col(tie))
+    by_slot = Window.partitionBy(key).orderBy(F.col(SLOT).asc_nulls_first())
     last = (
-        df.groupBy(key, DAY).agg(F.max_by(values, order).alias("_last"))
-        .select(key, DAY, F.lag("_last").over(by_day).alias("_before"))
+        df.groupBy(key, SLOT).agg(F.max_by(values, order).alias("_last"))
+        .select(key, SLOT, F.lag("_last").over(by_slot).alias("_before"))
     )
     df = df.withColumns({"_lag": F.lag(values).over(inside), "_nth": F.row_number().over(inside)})
     out = _attach(df, last, key)
     previous = F.when(F.col("_nth") > 1, F.col("_lag")).otherwise(F.col("_before"))
-    return out.withColumns({n: previous[n] for n in carry.values()}).drop("_lag", "_nth", "_before", DAY)
+    return out.withColumns({n: previous[n] for n in carry.values()}).drop("_lag", "_nth", "_before", SLOT)
 
 
 def running_low(df: DataFrame, key: str, ts: str, tie: str, value: str, name: str) -> DataFrame:
     """Lowest value among the preceding rows of the key."""
-    df = _with_day(df, ts)
+    df = _with_slot(df, ts)
     inside = (
-        Window.partitionBy(key, DAY).orderBy(F.col(ts).asc_nulls_first(), F.col(tie))
+        Window.partitionBy(key, SLOT).orderBy(F.col(ts).asc_nulls_first(), F.col(tie))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    earlier = Window.partitionBy(key).orderBy(F.col(DAY).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy(F.col(SLOT).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     lows = (
-        df.groupBy(key, DAY).agg(F.min(value).alias("_low"))
-        .select(key, DAY, F.min("_low").over(earlier).alias("_earlier"))
+        df.groupBy(key, SLOT).agg(F.min(value).alias("_low"))
+        .select(key, SLOT, F.min("_low").over(earlier).alias("_earlier"))
     )
     out = _attach(df.withColumn("_inside", F.min(value).over(inside)), lows, key)
-    return out.withColumn(name, F.least("_inside", "_earlier")).drop("_inside", "_earlier", DAY)
+    return out.withColumn(name, F.least("_inside", "_earlier")).drop("_inside", "_earlier", SLOT)
 
 
 def later_high(df: DataFrame, key: str, ts: str, value: str, days: int, name: str) -> DataFrame:
     """Highest value of the key dated at least ``days`` later."""
-    df = _with_day(df, ts)
+    df = _with_slot(df, ts, "day")
     later = (
         Window.partitionBy(key).orderBy("_number").rangeBetween(days, Window.unboundedFollowing)
     )
     highs = (
-        df.filter(F.col(DAY).isNotNull()).groupBy(key, DAY).agg(F.max(value).alias("_high"))
-        .withColumn("_number", F.unix_date(DAY))
-        .select(key, DAY, F.max("_high").over(later).alias(name))
+        df.filter(F.col(SLOT).isNotNull()).groupBy(key, SLOT).agg(F.max(value).alias("_high"))
+        .withColumn("_number", F.unix_date(F.col(SLOT).cast("date")))
+        .select(key, SLOT, F.max("_high").over(later).alias(name))
     )
-    return _attach(df, highs, key).drop(DAY)
+    return _attach(df, highs, key).drop(SLOT)
 
 
 # --- laboratory series ----------------------------------------------------------

@@ -483,7 +483,15 @@ def medication_requests(t: Tables, as_of=None) -> DataFrame:
         asNeeded=F.col("dosage_as_needed_boolean"),
         raw_text=F.col("dosage_text"),
     )
+    catalogue = t["medications"].select(
+        F.col("medication_id").alias("_medication"), F.col("primary_text").alias("medication_name"),
+        F.col("status").alias("medication_status"), F.col("code").alias("medication_code"),
+        F.col("primary_code").alias("medication_primary_code"), F.col("primary_system").alias("medication_primary_system"),
+        F.col("primary_text").alias("medication_primary_text"),
+    )
+    # The catalogue joins the plain request rows, before they carry nested children.
     requests = t["medication_requests"].filter(~F.col("status").isin("entered-in-error", "cancelled"))
+    requests = requests.join(catalogue, F.col("medication_id") == F.col("_medication"), "left").drop("_medication")
     df = nest.assemble(
         requests, key,
         lists={"notes": part(t["medication_request_notes"], key, text=C.escape_backslashes(F.col("note_text")))},
@@ -492,13 +500,6 @@ def medication_requests(t: Tables, as_of=None) -> DataFrame:
             "categories": part(t["medication_request_categories"], key, **_cleaned("category", "system", "code", "display", "text")),
         },
     )
-    catalogue = t["medications"].select(
-        F.col("medication_id").alias("_medication"), F.col("primary_text").alias("medication_name"),
-        F.col("status").alias("medication_status"), F.col("code").alias("medication_code"),
-        F.col("primary_code").alias("medication_primary_code"), F.col("primary_system").alias("medication_primary_system"),
-        F.col("primary_text").alias("medication_primary_text"),
-    )
-    df = df.join(catalogue, F.col("medication_id") == F.col("_medication"), "left")
     own = [c for c in _etl(t["medication_requests"]).columns]
     return _etl(df).select(
         *own, *[c for c in catalogue.columns if c != "_medication"],

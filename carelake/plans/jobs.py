@@ -24,16 +24,16 @@ class Load:
     statistics: DataFrame
 
 
-def written_stage(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
+def written_stage(spark: SparkSession, name: str) -> Callable[[DataFrame, str], DataFrame]:
     """Stage that writes a frame to the shared folder and reads it back.
 
-    Main and child tables then scan their own columns of the accepted input
-    instead of each repeating the deduplication shuffle, and a lost executor
-    does not bring the lineage back.
+    Main and child tables then scan their own columns of the deduplicated input
+    instead of each repeating its shuffle and the version comparison, and a lost
+    executor does not bring the lineage back.
     """
 
-    def stage(df: DataFrame) -> DataFrame:
-        path = f"{shared_folder(spark)}/carelake/stage/{spark.sparkContext.applicationId}/{name}"
+    def stage(df: DataFrame, part: str) -> DataFrame:
+        path = f"{shared_folder(spark)}/carelake/stage/{spark.sparkContext.applicationId}/{name}/{part}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
@@ -48,7 +48,7 @@ def load_resource(
     backdate_days: int = 0,
     delete_flag: str = "isDelete",
     sample: int | None = None,
-    stage: Callable[[DataFrame], DataFrame] | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> Load:
     """New tables of ``resource`` after loading ``source`` over ``existing``.
 
@@ -64,14 +64,16 @@ def load_resource(
     rows = load.after_bookmark(rows, mark)
     newest = load.latest_version(rows, "id", C.parse_timestamp(F.col("meta.lastUpdated")))
     if stage is not None:
-        newest = stage(newest)
+        newest = stage(newest, "accepted-input")
     has_status = "status" in source.columns
     wrong = load.entered_in_error(newest) if has_status else None
     good = newest.join(wrong, "id", "left_anti") if has_status else newest
 
     classified = load.classify_versions(flatten(good, main, as_of), existing[main], key, "meta_last_updated")
     accepted = classified.filter("version_action <> 'skipped'").drop("version_action")
-    keys = accepted.select(key)
+    keys = accepted.select(key).distinct()
+    if stage is not None:
+        keys = stage(keys, "accepted-keys")
     incoming = {t: flatten(good, t, as_of) for t in children}
     tables = {main: load.replace_rows(existing[main], accepted, keys, key)}
     for table, rows_in in incoming.items():

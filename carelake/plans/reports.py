@@ -49,8 +49,9 @@ def recent(cohort_rows: DataFrame, since: str = codes.REPORT_FROM) -> DataFrame:
 
 
 def _with_person(rows: DataFrame, target: DataFrame, facts: Frames) -> DataFrame:
+    """Rows of target patients with their person columns, in one join of the rows."""
     person = facts["fact_patients"].select("patient_id", "names", "birth_date", "gender")
-    return rows.join(target.select("patient_id"), "patient_id").join(person, "patient_id")
+    return rows.join(target.select("patient_id").join(person, "patient_id"), "patient_id")
 
 
 # --- condition reports ----------------------------------------------------------
