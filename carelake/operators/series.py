@@ -14,24 +14,31 @@ from pyspark.sql import functions as F
 from carelake.functions import codes
 
 SLOT = "_slot"
+OLDEST, NEWEST = "0001-01-01 00:00:00", "9999-12-31 23:00:00"
 
 
-def _with_slot(df: DataFrame, ts: str, unit: str = "hour") -> DataFrame:
-    return df.withColumn(SLOT, F.date_trunc(unit, F.col(ts)))
+def _with_slot(df: DataFrame, ts: str, unknown: str, unit: str = "hour") -> DataFrame:
+    """Add the slot of a row; rows with no time get the ``unknown`` slot."""
+    return df.withColumn(SLOT, F.coalesce(F.date_trunc(unit, F.col(ts)), F.lit(unknown).cast("timestamp")))
 
 
 def _attach(df: DataFrame, summary: DataFrame, key: str) -> DataFrame:
-    """Join a per-(key, slot) summary; rows with no time match the NULL slot."""
-    summary = summary.withColumnsRenamed({key: "_k", SLOT: "_s"})
-    same = F.col(key).eqNullSafe(F.col("_k")) & F.col(SLOT).eqNullSafe(F.col("_s"))
-    return df.join(summary, same, "left").drop("_k", "_s")
+    """Join a per-(key, slot) summary on the partitioning the rows already have.
+
+    Plain equality keeps that partitioning (a null-safe join would shuffle the
+    rows again), so rows with a NULL key get no summary.  The summary is spread
+    by (key, slot) explicitly: its own window left it clustered by key alone,
+    and the rows must not follow it there.
+    """
+    summary = summary.withColumnsRenamed({key: "_k", SLOT: "_s"}).repartition("_k", "_s")
+    return df.join(summary, (F.col(key) == F.col("_k")) & (F.col(SLOT) == F.col("_s")), "left").drop("_k", "_s")
 
 
 def recency_rank(df: DataFrame, key: str, ts: str, name: str) -> DataFrame:
     """``rank()`` per key, newest first, rows without time before all others."""
-    df = _with_slot(df, ts)
+    df = _with_slot(df, ts, NEWEST)
     inside = F.rank().over(Window.partitionBy(key, SLOT).orderBy(F.col(ts).desc_nulls_first()))
-    newer = Window.partitionBy(key).orderBy(F.col(SLOT).desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    newer = Window.partitionBy(key).orderBy(F.col(SLOT).desc()).rowsBetween(Window.unboundedPreceding, -1)
     offset = (
         df.groupBy(key, SLOT).agg(F.count("*").alias("_rows"))
         .select(key, SLOT, F.coalesce(F.sum("_rows").over(newer), F.lit(0)).alias("_newer"))
@@ -45,11 +52,11 @@ def previous_row(df: DataFrame, key: str, ts: str, tie: str, carry: dict[str, st
 
     ``carry`` maps source columns to the names of the lagged columns.
     """
-    df = _with_slot(df, ts)
+    df = _with_slot(df, ts, OLDEST)
     values = F.struct(*[F.col(c).alias(n) for c, n in carry.items()])
     order = F.struct(F.col(ts), F.col(tie))
     inside = Window.partitionBy(key, SLOT).orderBy(F.col(ts).asc_nulls_first(), F.col(tie))
-    by_slot = Window.partitionBy(key).orderBy(F.col(SLOT).asc_nulls_first())
+    by_slot = Window.partitionBy(key).orderBy(F.col(SLOT))
     last = (
         df.groupBy(key, SLOT).agg(F.max_by(values, order).alias("_last"))
         .select(key, SLOT, F.lag("_last").over(by_slot).alias("_before"))
@@ -62,12 +69,12 @@ def previous_row(df: DataFrame, key: str, ts: str, tie: str, carry: dict[str, st
 
 def running_low(df: DataFrame, key: str, ts: str, tie: str, value: str, name: str) -> DataFrame:
     """Lowest value among the preceding rows of the key."""
-    df = _with_slot(df, ts)
+    df = _with_slot(df, ts, OLDEST)
     inside = (
         Window.partitionBy(key, SLOT).orderBy(F.col(ts).asc_nulls_first(), F.col(tie))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    earlier = Window.partitionBy(key).orderBy(F.col(SLOT).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy(F.col(SLOT)).rowsBetween(Window.unboundedPreceding, -1)
     lows = (
         df.groupBy(key, SLOT).agg(F.min(value).alias("_low"))
         .select(key, SLOT, F.min("_low").over(earlier).alias("_earlier"))
@@ -78,16 +85,16 @@ def running_low(df: DataFrame, key: str, ts: str, tie: str, value: str, name: st
 
 def later_high(df: DataFrame, key: str, ts: str, value: str, days: int, name: str) -> DataFrame:
     """Highest value of the key dated at least ``days`` later."""
-    df = _with_slot(df, ts, "day")
+    df = _with_slot(df, ts, OLDEST, "day")
     later = (
         Window.partitionBy(key).orderBy("_number").rangeBetween(days, Window.unboundedFollowing)
     )
     highs = (
-        df.filter(F.col(SLOT).isNotNull()).groupBy(key, SLOT).agg(F.max(value).alias("_high"))
+        df.filter(F.col(ts).isNotNull()).groupBy(key, SLOT).agg(F.max(value).alias("_high"))
         .withColumn("_number", F.unix_date(F.col(SLOT).cast("date")))
         .select(key, SLOT, F.max("_high").over(later).alias(name))
     )
-    return _attach(df, highs, key).drop(SLOT)
+    return _attach(df, highs, key).withColumn(name, F.when(F.col(ts).isNotNull(), F.col(name))).drop(SLOT)
 
 
 # --- laboratory series ----------------------------------------------------------

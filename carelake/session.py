@@ -45,17 +45,21 @@ def local_session(cores: str = "8", shuffle_partitions: str = "8") -> SparkSessi
     return configure(spark)
 
 
+_local_folder: str | None = None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
     ``spark.checkpoint.dir`` wins.  Only a local master (tests) may fall back to
     a folder of this machine; on a cluster the setting is required.
     """
+    global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="carelake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="carelake-")
+    return _local_folder

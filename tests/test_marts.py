@@ -129,12 +129,14 @@ def test_refresh_levels_cover_all_marts(spark):
     assert all(refresh.builder(n, {}) for n in names)
 
 
-def test_full_refresh_of_empty_tables(spark, tmp_path):
-    marts = refresh.refresh(spark, tables(spark), str(tmp_path), as_of="2024-01-01")
-    assert len(marts) == 37 and marts["report_psa_total"].count() == 0
+def test_refresh_and_registry(spark, tmp_path):
+    t = tables(spark)
+    marts = refresh.refresh(spark, t, str(tmp_path), levels=(0, 1, 2, 3), as_of="2024-01-01")
+    assert len(marts) == 13
     entries = refresh.registry_rows(spark, marts, "2024-01-01")
     registry = refresh.update_registry(spark.createDataFrame([], refresh.REGISTRY), entries)
-    assert registry.count() == 37
     later = refresh.registry_rows(spark, {"report_cohort": marts["report_cohort"]}, "2024-02-01")
     updated = refresh.update_registry(registry, later)
-    assert updated.count() == 37 and updated.filter("last_refreshed > '2024-01-15'").count() == 1
+    assert updated.count() == 13 and updated.filter("last_refreshed > '2024-01-15'").count() == 1
+    report = refresh.builder("report_psa_total", t)(marts)
+    assert report.count() == 0 and report.columns[0] == "names"

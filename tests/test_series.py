@@ -52,6 +52,18 @@ def test_later_high_equals_brute_force(events):
     assert got == want
 
 
+def test_rows_are_never_gathered_by_key_alone(spark, events):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out in (series.recency_rank(events, "key", "ts", "r"), series.previous_row(events, "key", "ts", "id", {"value": "pv"}),
+                    series.running_low(events, "key", "ts", "id", "value", "low"), series.later_high(events, "key", "ts", "value", 21, "high")):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            left = plan[plan.index("SortMergeJoin"):plan.index("REPARTITION_BY_COL")]
+            assert left.count("Exchange") == 2, plan  # rows by (key, slot), then the summary
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def psa(spark, *points):
     rows = [("p", f"o{i}", datetime(2024, 1, 1) + timedelta(days=d), Decimal(v)) for i, (d, v) in enumerate(points)]
     return spark.createDataFrame(rows, "patient_id string, observation_id string, effective_datetime timestamp, value_quantity_value decimal(15,4)")
