@@ -92,12 +92,11 @@ def _(spark, sf):
     return plain(io.newest(bridge.load(spark, sf, "events"), "ts"))
 
 
-@query("source_conform", "SELECT n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey, CAST(NULL AS VARCHAR) AS n_comment FROM nation")
+@query("source_conform", "SELECT c_name, c_nationkey::BIGINT AS \"C_NATIONKEY\", CAST(NULL AS VARCHAR) AS c_comment FROM customer")
 def _(spark, sf):
     from carelake.sources.schemas import datatype
 
-    return plain(io.conform(bridge.load(spark, sf, "nation"), datatype("n_name string, N_REGIONKEY bigint, n_comment string"))
-                 .withColumnRenamed("N_REGIONKEY", "n_regionkey"))
+    return io.conform(bridge.load(spark, sf, "customer"), datatype("c_name string, C_NATIONKEY bigint, c_comment string"))
 
 
 # --- high-water mark and versions -------------------------------------------
@@ -284,7 +283,9 @@ _KEPT = "(SELECT * FROM {0} WHERE oid NOT IN (SELECT oid FROM {0} WHERE event_ty
 def _(spark, sf):
     """Deleted and retracted observations leave no rows in main and child tables."""
     source = stage.resource(spark, sf, "Observation")
-    result = jobs.load_resource("Observation", source, jobs.empty_tables(spark, "Observation"), stage.AS_OF)
+    result = jobs.load_resource(
+        "Observation", source, jobs.empty_tables(spark, "Observation"), stage.AS_OF,
+        stage=jobs.written_stage(spark, f"observations-{uuid.uuid4().hex}"))
     names = ("observations", "observation_codes", "observation_components", "observation_notes")
     return quality.row_counts({n: result.tables[n] for n in names})
 

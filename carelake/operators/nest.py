@@ -32,7 +32,8 @@ def assemble(
 ) -> DataFrame:
     """Main columns plus one sorted array per child.
 
-    ``lists`` keep repeats, ``sets`` drop them, ``singles`` hold at most one row
+    Arrays are sorted by their native ordering (``sort_array``), which is
+    compiled, unlike the comparator of ``array_sort``.  ``lists`` keep repeats, ``sets`` drop them, ``singles`` hold at most one row
     per key and stay a struct.  Absent children give an empty array (or NULL
     struct).  ``main`` has one row per key.
     """
@@ -46,8 +47,8 @@ def assemble(
     # plain rows first is about twice as fast as shuffling serialized lists.
     grouped = union.repartition(key).groupBy(key).agg(
         F.first(MAIN, ignorenulls=True).alias(MAIN),
-        *[F.array_sort(F.collect_list(n)).alias(n) for n in lists],
-        *[F.array_sort(F.collect_set(n)).alias(n) for n in sets],
+        *[F.sort_array(F.collect_list(n)).alias(n) for n in lists],
+        *[F.sort_array(F.collect_set(n)).alias(n) for n in sets],
         *[F.first(n, ignorenulls=True).alias(n) for n in singles],
     )
     return grouped.filter(F.col(MAIN).isNotNull()).select(
@@ -95,7 +96,7 @@ def nest_children(df: DataFrame, key: str, name: str, distinct: bool = False, **
     items = part(df, key, **fields)
     if distinct:
         items = items.distinct()
-    return items.groupBy(key).agg(F.array_sort(F.collect_list("item")).alias(name))
+    return items.groupBy(key).agg(F.sort_array(F.collect_list("item")).alias(name))
 
 
 def rank_codes(df: DataFrame, key: str, systems, code: str = "code_code", system: str = "code_system") -> DataFrame:
@@ -128,7 +129,7 @@ def distinct_text(df: DataFrame, keys: list[str], value: Column, name: str, deli
     """
     pairs = df.select(*keys, value.alias("_value")).filter("_value is not null").distinct()
     return pairs.groupBy(*keys).agg(
-        F.array_join(F.array_sort(F.collect_list("_value")), delimiter).alias(name)
+        F.array_join(F.sort_array(F.collect_list("_value")), delimiter).alias(name)
     )
 
 

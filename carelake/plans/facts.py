@@ -227,7 +227,7 @@ def encounters(t: Tables, as_of=None) -> DataFrame:
         },
     )
     primary = F.get("_codes", F.lit(0))
-    texts = F.array_sort(F.transform("_codes", lambda x: F.struct(
+    texts = F.sort_array(F.transform("_codes", lambda x: F.struct(
         x["onset"].isNull().alias("no_onset"), x["onset"].alias("onset"), _diagnosis_text(x).alias("text")
     )))
     texts = F.array_distinct(F.transform(texts, lambda x: x["text"]))
@@ -373,7 +373,7 @@ def all_observations(t: Tables) -> DataFrame:
         },
     ).filter(F.col("status") != "entered-in-error")
     best = F.get("codes", F.lit(0))
-    category = F.get(F.array_sort(F.transform(
+    category = F.get(F.sort_array(F.transform(
         F.filter("categories", lambda x: x["code"].isNotNull()),
         lambda x: F.struct(C.system_priority(x["system"], (codes.OBSERVATION_CATEGORY,)).alias("order"), x["code"].alias("code")),
     )), F.lit(0))["code"]

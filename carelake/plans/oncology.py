@@ -94,7 +94,7 @@ def medication_list(facts: Frames, cohort: DataFrame, authored_from: str = "2023
         F.count("medication_display").alias("n")
     )
     return once.groupBy("patient_id", "last_encounter_date").agg(
-        F.array_join(F.array_sort(F.collect_list("medication_display")), ", ").alias("medications_list"),
+        F.array_join(F.sort_array(F.collect_list("medication_display")), ", ").alias("medications_list"),
         F.sum("n").alias("medication_count"),
     )
 

@@ -231,7 +231,7 @@ def medication_report(facts: Frames, target: DataFrame, names=codes.ADT_DRUGS) -
         "medication_primary_system", "medication_primary_text", "dosage_instructions", "categories", "notes",
     ]
     return rows.groupBy(*keys).agg(
-        F.array_join(F.array_sort(F.collect_set("medication_display")), ", ").alias("medications_list"),
+        F.array_join(F.sort_array(F.collect_set("medication_display")), ", ").alias("medications_list"),
         F.count("medication_display").alias("total_medication_requests"),
     )
 

@@ -70,6 +70,22 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores; leave a large one as it is read.
+
+    A table of one file with one row group reaches a single task.  Below 128 MB
+    per core, by the size Spark itself estimates, moving the rows costs little;
+    larger inputs come in many splits already and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * 128 * 1024 * 1024 else df
+
+
+def _input(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return spread(load(spark, folder, table))
+
+
 def _text(*parts) -> Column:
     return F.concat(*[(p if isinstance(p, Column) else F.lit(p)).cast("string") for p in parts])
 
@@ -105,7 +121,7 @@ def patient(spark: SparkSession, folder: str) -> DataFrame:
     c = F.col
     nation, region = load(spark, folder, "nation"), load(spark, folder, "region")
     df = (
-        load(spark, folder, "customer")
+        _input(spark, folder, "customer")
         .join(nation, c("c_nationkey") == c("n_nationkey"), "left")
         .join(region, c("n_regionkey") == c("r_regionkey"), "left")
     )
@@ -210,7 +226,7 @@ def encounter(spark: SparkSession, folder: str) -> DataFrame:
     c = F.col
     pr, done = c("o_orderpriority"), c("o_orderstatus") == "F"
     end = c("o_orderdate") + F.make_dt_interval(mins=F.floor(c("o_totalprice") / 1000).cast("int"))
-    return select_as(load(spark, folder, "orders"), schemas.resource_schema("Encounter"), {
+    return select_as(_input(spark, folder, "orders"), schemas.resource_schema("Encounter"), {
         "id": c("o_orderkey"),
         "resourceType": "Encounter",
         "meta": {"lastUpdated": _iso(F.date_add(c("o_orderdate"), 1).cast("timestamp"))},
@@ -249,7 +265,7 @@ def _order_codings(spark: SparkSession, folder: str) -> DataFrame:
         _pick(ICD_NAMES, number).alias("icd_name"),
         _case(c("p_type"), SNOMED_BY_TYPE).alias("sct"),
     )
-    line = load(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    line = _input(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
     pairs = line.join(part, c("l_partkey") == c("p_partkey")).select(
         "l_orderkey",
         F.explode(F.array(
@@ -258,13 +274,13 @@ def _order_codings(spark: SparkSession, folder: str) -> DataFrame:
         )).alias("coding"),
     ).distinct()
     return pairs.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list("coding")).alias("codings"), F.max("coding.display").alias("name")
+        F.sort_array(F.collect_list("coding")).alias("codings"), F.max("coding.display").alias("name")
     )
 
 
 def condition(spark: SparkSession, folder: str) -> DataFrame:
     c = F.col
-    df = load(spark, folder, "orders").join(
+    df = _input(spark, folder, "orders").join(
         _order_codings(spark, folder), c("o_orderkey") == c("l_orderkey"), "left"
     )
     pr, day = c("o_orderpriority"), c("o_orderdate")
@@ -311,7 +327,7 @@ def condition(spark: SparkSession, folder: str) -> DataFrame:
 def observation(spark: SparkSession, folder: str) -> DataFrame:
     c = F.col
     kind, ts = c("event_type"), c("ts")
-    df = load(spark, folder, "events").withColumn(
+    df = _input(spark, folder, "events").withColumn(
         "k", F.get_json_object("props", "$.k").cast("int")
     ).withColumn("lab", F.floor(c("k") / 5).cast("int"))
     inferred, vital = kind == "signup", c("lab").isin(17, 18)
@@ -402,7 +418,7 @@ def diagnostic_report(spark: SparkSession, folder: str) -> DataFrame:
     pr, day = c("o_orderpriority"), c("o_orderdate")
     code = _case(pr, {k: v[0] for k, v in REPORTS.items()})
     display = _case(pr, {k: v[1] for k, v in REPORTS.items()})
-    return select_as(load(spark, folder, "orders"), schemas.resource_schema("DiagnosticReport"), {
+    return select_as(_input(spark, folder, "orders"), schemas.resource_schema("DiagnosticReport"), {
         "id": _text("dr-", c("o_orderkey")),
         "resourceType": "DiagnosticReport",
         "meta": {"lastUpdated": _iso(F.date_add(day, 3).cast("timestamp"))},
@@ -431,7 +447,7 @@ def document_reference(spark: SparkSession, folder: str) -> DataFrame:
     c = F.col
     number = F.regexp_extract("source", "([0-9]+)", 1)
     day = F.date_add(F.lit("2022-06-01").cast("date"), F.floor(c("n_chars") / 10).cast("int"))
-    return select_as(load(spark, folder, "documents"), schemas.resource_schema("DocumentReference"), {
+    return select_as(_input(spark, folder, "documents"), schemas.resource_schema("DocumentReference"), {
         "id": c("doc_id"),
         "resourceType": "DocumentReference",
         "meta": {"lastUpdated": _iso(F.date_add(day, 1).cast("timestamp"))},
@@ -461,7 +477,7 @@ def _drug(name: Column) -> Column:
 
 def medication(spark: SparkSession, folder: str) -> DataFrame:
     c = F.col
-    return select_as(load(spark, folder, "part"), schemas.resource_schema("Medication"), {
+    return select_as(_input(spark, folder, "part"), schemas.resource_schema("Medication"), {
         "id": c("p_partkey"),
         "resourceType": "Medication",
         "meta": {"lastUpdated": _text("2024-03-", F.lpad(F.ceil(c("p_size") / 2).cast("string"), 2, "0"), "T00:00:00Z")},
@@ -478,7 +494,7 @@ def medication(spark: SparkSession, folder: str) -> DataFrame:
 def _prescriptions(spark: SparkSession, folder: str) -> DataFrame:
     """One row per (order, part): amounts and dates over its lines."""
     c = F.col
-    lines = load(spark, folder, "lineitem").groupBy("l_orderkey", "l_partkey").agg(
+    lines = _input(spark, folder, "lineitem").groupBy("l_orderkey", "l_partkey").agg(
         F.sum("l_quantity").cast("int").alias("amount"),
         F.min("l_shipdate").alias("first_day"),
         F.max("l_shipdate").alias("last_day"),
@@ -487,7 +503,7 @@ def _prescriptions(spark: SparkSession, folder: str) -> DataFrame:
         F.min("l_suppkey").alias("supplier"),
     )
     part = load(spark, folder, "part").select("p_partkey", "p_name")
-    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    orders = _input(spark, folder, "orders").select("o_orderkey", "o_custkey")
     return lines.join(part, c("l_partkey") == c("p_partkey")).join(orders, c("l_orderkey") == c("o_orderkey"))
 
 
@@ -546,7 +562,7 @@ def medication_dispense(spark: SparkSession, folder: str) -> DataFrame:
 
 def care_plan(spark: SparkSession, folder: str) -> DataFrame:
     c = F.col
-    return select_as(load(spark, folder, "customer"), schemas.resource_schema("CarePlan"), {
+    return select_as(_input(spark, folder, "customer"), schemas.resource_schema("CarePlan"), {
         "id": _text("cp-", c("c_custkey")),
         "resourceType": "CarePlan",
         "meta": {"lastUpdated": F.lit("2024-04-01T00:00:00Z")},
@@ -567,7 +583,7 @@ def care_plan(spark: SparkSession, folder: str) -> DataFrame:
 def allergy_intolerance(spark: SparkSession, folder: str) -> DataFrame:
     c = F.col
     seg = c("c_mktsegment")
-    return select_as(load(spark, folder, "customer"), schemas.resource_schema("AllergyIntolerance"), {
+    return select_as(_input(spark, folder, "customer"), schemas.resource_schema("AllergyIntolerance"), {
         "id": _text("ai-", c("c_custkey")),
         "resourceType": "AllergyIntolerance",
         "meta": {"lastUpdated": F.lit("2024-05-01T00:00:00.5Z"), "source": "urn:source", "tag": [{"code": "T"}]},
@@ -601,7 +617,7 @@ def procedure(spark: SparkSession, folder: str) -> DataFrame:
         F.when(pr == "1-URGENT", _iso(day)).when(pr == "2-HIGH", F.date_format(day, "M/d/yy"))
         .when(pr == "3-MEDIUM", F.date_format(day, "M/d/yyyy")).when(pr == "5-LOW", F.date_format(day, "yyyy-MM-dd"))
     )
-    return select_as(load(spark, folder, "orders"), schemas.resource_schema("Procedure"), {
+    return select_as(_input(spark, folder, "orders"), schemas.resource_schema("Procedure"), {
         "id": _text("pr-", c("o_orderkey")),
         "resourceType": "Procedure",
         "meta": {"lastUpdated": _iso(day)},
