@@ -103,7 +103,7 @@ def _(spark, sf):
     return t(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus", "l_suppkey").agg(F.count("*").alias("n"))
 
 
-@query("agg_distinct_rows", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@query("agg_distinct_rows", "SELECT DISTINCT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem")
 def _(spark, sf):
     return plain(t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").distinct())
 

@@ -123,7 +123,7 @@ def _(spark, sf):
         C.document_class(C.first_coding(kind, "code"), C.first_coding(kind, "system")).alias("class")))
 
 
-@query("expr_value_kind", "SELECT o_orderkey, u.pos, u.kind FROM orders, (VALUES (0, 'string'), (1, 'integer'), (2, 'unknown')) u(pos, kind)")
+@query("expr_value_kind", "SELECT o_orderkey, CAST(u.pos AS BIGINT) AS pos, u.kind FROM orders, (VALUES (0, 'string'), (1, 'integer'), (2, 'unknown')) u(pos, kind)")
 def _(spark, sf):
     df = stage.resource(spark, sf, "Condition").select(col("id").cast("long").alias("o_orderkey"), F.posexplode("extension").alias("pos", "x"))
     return plain(df.select("o_orderkey", "pos", C.value_kind(col("x")).alias("kind")))
@@ -193,7 +193,7 @@ def _(spark, sf):
 
 
 @query("expr_pattern_sets", """SELECT p_partkey, CAST(p_name ILIKE '%RING%' OR p_name ILIKE 'Blue%' AS VARCHAR) AS named,
- CAST(p_brand LIKE 'Brand#1%' OR p_brand LIKE 'Brand#25%' AS VARCHAR) AS branded, CASE p_type WHEN 'LARGE' THEN 1 WHEN 'SMALL' THEN 2 WHEN 'STANDARD' THEN 3 ELSE 4 END AS priority FROM part""")
+ CAST(p_brand LIKE 'Brand#1%' OR p_brand LIKE 'Brand#25%' AS VARCHAR) AS branded, CAST(CASE p_type WHEN 'LARGE' THEN 1 WHEN 'SMALL' THEN 2 WHEN 'STANDARD' THEN 3 ELSE 4 END AS BIGINT) AS priority FROM part""")
 def _(spark, sf):
     return plain(bridge.load(spark, sf, "part").select(
         "p_partkey", C.matches_any(col("p_name"), ["%RING%", "Blue%"]).alias("named"),

@@ -123,7 +123,7 @@ fact("fact_encounters", own("encounters") + """ all_identifiers identifier_count
   discharge_system location_sequence location_count all_participants participant_count primary_performer_count reasons types
   all_diagnoses diagnosis_count primary_diagnosis_code primary_diagnosis_display primary_diagnosis_code_system
   duration_minutes:i is_complete:b days_since_encounter:i patient_encounter_rank:i""", f"""
-SELECT e.*, CAST(NULL AS VARCHAR) AS all_identifiers, 0 AS identifier_count, h.* EXCLUDE (encounter_id, meta_last_updated),
+SELECT e.*, CAST(NULL AS VARCHAR) AS all_identifiers, CAST(0 AS BIGINT) AS identifier_count, h.* EXCLUDE (encounter_id, meta_last_updated),
  l.location_sequence, l.location_count, w.all_participants, w.participant_count, w.primary_performer_count, r.v AS reasons, t.v AS types,
  d.all_diagnoses, dc.diagnosis_count, p.code_code AS primary_diagnosis_code, p.display AS primary_diagnosis_display,
  p.code_system AS primary_diagnosis_code_system, CAST(round(date_diff('second', start_time, end_time) / 60.0) AS BIGINT) AS duration_minutes,

@@ -37,7 +37,7 @@ LINES = """(SELECT l_orderkey AS id, l_shipdate AS ts, l_linenumber, l_partkey,
  l_returnflag = 'R' AND l_quantity > 45 AS isDelete, CASE WHEN l_tax > 0.06 THEN 'entered-in-error' ELSE 'final' END AS status FROM lineitem)"""
 _ORDER = "l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC"
 LATEST = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, {_ORDER}) AS r FROM {LINES}) WHERE r = 1)"
-_OUT = f"id, {_TS.format('ts')} AS ts, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, CAST(isDelete AS VARCHAR) AS isDelete, status"
+_OUT = f"id, {_TS.format('ts')} AS ts, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, CAST(isDelete AS VARCHAR) AS isDelete, status"
 
 
 def latest(spark, sf) -> DataFrame:
@@ -74,7 +74,7 @@ _TRIPLE = f"id, {_TS.format('ts')} AS ts, payload"
 
 
 @query("source_nested_scan", f"SELECT oid AS id, CASE WHEN inferred THEN 'Inferred finding' ELSE {flat_sql.text_list(bridge.LAB_NAMES)}[lab + 1] END AS text, "
-       f"CASE WHEN inferred THEN 1 ELSE 3 END AS codings FROM {flat_sql.EVENTS}")
+       f"CAST(CASE WHEN inferred THEN 1 ELSE 3 END AS BIGINT) AS codings FROM {flat_sql.EVENTS}")
 def _(spark, sf):
     stage.resource(spark, sf, "Observation")
     path = stage.path_of(spark, sf, "Observation")
@@ -247,7 +247,7 @@ def _(spark, sf):
     return plain(back.select("patient", F.get("names", F.lit(0))["text"].alias("official_name"), "active"))
 
 
-@query("sink_bucketed", "SELECT o_orderpriority, count(*) AS orders, sum(CAST(l_quantity AS BIGINT)) AS quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
+@query("sink_bucketed", "SELECT o_orderpriority, count(*) AS orders, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
 def _(spark, sf):
     """Line items and orders bucketed on the order key, joined without a shuffle of either."""
     tag = uuid.uuid4().hex[:12]
@@ -290,8 +290,8 @@ def _(spark, sf):
     return quality.row_counts({n: result.tables[n] for n in names})
 
 
-@query("job_load_statistics", f"""SELECT count(*) AS source_rows, count(DISTINCT oid) AS distinct_rows, 0 AS duplicates_removed, count(*) AS kept,
- count(*) AS new, 0 AS updated, 0 AS unversioned, 0 AS skipped FROM (SELECT * FROM {flat_sql.EVENTS}
+@query("job_load_statistics", f"""SELECT count(*) AS source_rows, count(DISTINCT oid) AS distinct_rows, 0::BIGINT AS duplicates_removed, count(*) AS kept,
+ count(*) AS new, 0::BIGINT AS updated, 0::BIGINT AS unversioned, 0::BIGINT AS skipped FROM (SELECT * FROM {flat_sql.EVENTS}
  WHERE oid NOT IN (SELECT oid FROM {flat_sql.EVENTS} WHERE event_type = 'click' AND value > 100)) WHERE event_type <> 'error'""")
 def _(spark, sf):
     source = stage.resource(spark, sf, "Observation").filter("status <> 'entered-in-error'")

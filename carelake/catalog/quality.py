@@ -62,7 +62,7 @@ def _(spark, sf):
     return quality.schema_report(orders, datatype("o_orderkey bigint, o_custkey string, o_comment string"))
 
 
-@query("quality_load_statistics", """SELECT n AS source_rows, d AS distinct_rows, n - d AS duplicates_removed, d - s AS kept, a AS new, u AS updated, 0 AS unversioned, s AS skipped, n AS child_rows, n / d AS expansion_ratio
+@query("quality_load_statistics", """SELECT n AS source_rows, d AS distinct_rows, n - d AS duplicates_removed, d - s AS kept, a AS new, u AS updated, 0::BIGINT AS unversioned, s AS skipped, n AS child_rows, n / d AS expansion_ratio
  FROM (SELECT count(*) AS n FROM lineitem), (SELECT count(*) AS d, count(*) FILTER (t.k IS NULL) AS a, count(*) FILTER (i.ts > t.ts) AS u, count(*) FILTER (i.ts <= t.ts) AS s
  FROM (SELECT l_orderkey AS k, max(l_shipdate) AS ts FROM lineitem GROUP BY 1) i LEFT JOIN (SELECT o_orderkey AS k, o_orderdate + INTERVAL 60 DAY AS ts FROM orders WHERE o_orderstatus <> 'P') t ON i.k = t.k)""")
 def _(spark, sf):
@@ -79,7 +79,7 @@ _REFRESHED = ("fact_practitioners", "fact_patients", "fact_allergy_intolerance",
 
 
 @query("refresh_registry", oracle(" UNION ALL ".join(
-    f"SELECT '{n}' AS mart_name, {refresh.level_of(n)} AS dependency_level, 'MATERIALIZED' AS mart_type, 'FACT' AS mart_category, "
+    f"SELECT '{n}' AS mart_name, {refresh.level_of(n)}::BIGINT AS dependency_level, 'MATERIALIZED' AS mart_type, 'FACT' AS mart_category, "
     f"'2001-06-01 00:00:00.000000' AS last_refreshed, count(*) AS row_count FROM {n}" for n in _REFRESHED)))
 def _(spark, sf):
     """Marts of levels 0 and 1 built in order; the registry holds one row for each."""
@@ -89,7 +89,7 @@ def _(spark, sf):
     return plain(refresh.update_registry(first, refresh.registry_rows(spark, marts, stage.AS_OF)))
 
 
-@query("refresh_registry_summary", oracle("""SELECT 2 AS dependency_level, 'FACT' AS mart_category, 'MATERIALIZED' AS mart_type, 3 AS marts,
+@query("refresh_registry_summary", oracle("""SELECT 2::BIGINT AS dependency_level, 'FACT' AS mart_category, 'MATERIALIZED' AS mart_type, 3::BIGINT AS marts,
  (SELECT count(*) FROM fact_conditions) + (SELECT count(*) FROM fact_encounters) + (SELECT count(*) FROM fact_observations) AS row_count
  UNION ALL SELECT 1, 'FACT', 'MATERIALIZED', 1, (SELECT count(*) FROM fact_patients)"""))
 def _(spark, sf):
