@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.catalog.registry import register
-from carelake.llm import decontaminate, embed_dedup, licenses, mixing, simhash
+from carelake.llm import decontaminate, embed_dedup, language, licenses, lm, mixing, passages, simhash, token_frames, toxicity
+from carelake.llm.common import crc_mod
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,15 +18,48 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.groups(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(table(spark, sf, "documents"), crc_mod("doc_id", 7) == 2)
+
+
+def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = language.fit(docs.where(crc_mod("doc_id", 5) != 0), key=F.col("doc_id"))
+    found = docs.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), language.predictions(model, F.col("text")).alias("p"))
+    return found.select("doc_id", "held_out", "p.*")
+
+
 def op4_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.labelled(licenses.scan(table(spark, sf, "documents")))
 
 
+def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return passages.repeated(table(spark, sf, "documents"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_token_output(spark: SparkSession, sf: str) -> DataFrame:
+    return token_frames.digests(token_frames.write_shards(table(spark, sf, "documents"), tokenizer_path()))
+
+
 def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.drop("row_key").distinct()
 
 
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    learn = docs.where(crc_mod("doc_id", 5) != 0).join(labels.select("doc_id", "toxic").where("toxic IS NOT NULL"), "doc_id")
+    model = toxicity.fit(learn, key=F.col("doc_id"))
+    scored = docs.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), toxicity.score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
 def op9_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
@@ -107,7 +141,12 @@ SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken
 
 
 register("op1_simhash", op1_simhash)
+register("op2_lm_score", op2_lm_score)
+register("op3_language_id", op3_language_id)
 register("op4_license_scan", op4_license_scan, _license_sql())
+register("op5_substring_dedup", op5_substring_dedup)
+register("op6_token_output", op6_token_output)
 register("op7_decontaminate", op7_decontaminate, DECONTAMINATE_SQL)
+register("op8_toxicity", op8_toxicity)
 register("op9_mix_sources", op9_mix_sources, MIX_SQL)
 register("op10_embedding_dedup", op10_embedding_dedup)
