@@ -74,12 +74,13 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     """Pairs (document id, item id) with ``shared``, ``item_shingles``, ``containment`` and ``row_key`` of the document row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "leaks")
-    own = _shingles(items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text")), F.col("item_text"), width)
-    own = own.select("item", F.explode(F.arrays_zip(
+    own = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("item_text"))
+    own = _shingles(own.withColumn("item", F.xxhash64("item_id", "item_text")), F.col("item_text"), width)
+    own = own.select("item", "item_id", F.explode(F.arrays_zip(
         F.transform("hashes", lambda h, i: F.array_join(F.slice("words", i + 1, width), " ")).alias("shingle"),
-        F.col("hashes").alias("h"))).alias("x")).select("item", "x.shingle", "x.h").distinct()
+        F.col("hashes").alias("h"))).alias("x")).select("item", "item_id", "x.shingle", "x.h").distinct()
     own = scratch.save(own, "items")
-    sizes = scratch.save(own.groupBy("item").agg(F.count("*").alias("item_shingles")), "item_sizes")
+    sizes = scratch.save(own.groupBy("item", "item_id").agg(F.count("*").alias("item_shingles")), "item_sizes")
     log_bits = min(MOST_BITS, max(10, own.count().bit_length() + 8))
     hashes = own.select("h").distinct()
 
@@ -116,7 +117,7 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     shared = shared.groupBy("row_key", "item").agg(F.count("*").alias("shared"))
     shared = scratch.save(shared.join(sizes, "item").where(F.col("shared") >= F.col("item_shingles") * threshold), "verified")
     return shared.join(rows.select("row_key", "id"), "row_key").select(
-        F.col("id").alias(id_col), F.col("item").alias(item_col), "shared", "item_shingles",
+        F.col("id").alias(id_col), F.col("item_id").alias(item_col), "shared", "item_shingles",
         (F.col("shared") / F.col("item_shingles")).alias("containment"), "row_key",
     )
 

@@ -135,7 +135,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     found = groups(docs, id_col, text_col, **options)
     keep = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col)).distinct()
     named = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    roots = found.where(F.col("component_id").isNull()).select("root", F.conv("fingerprint", 16, -10).cast("long").alias("fp"))
+    roots = found.where(F.col("component_id").isNull()).select(F.col("root").alias("__root"), F.conv("fingerprint", 16, -10).cast("long").alias("__fp"))
     nameless = docs.where(F.col(id_col).isNull()).withColumn("__fp", fingerprint(F.col(text_col), options.get("width", 4)))
-    nameless = nameless.join(roots.distinct().withColumnRenamed("fp", "__fp"), "__fp")
-    return named.unionByName(nameless.dropDuplicates(["root"]).select(*docs.columns))
+    nameless = nameless.join(roots.distinct(), "__fp")
+    return named.unionByName(nameless.dropDuplicates(["__root"]).select(*docs.columns))
