@@ -91,33 +91,38 @@ def runs(hashes: np.ndarray, run: int) -> np.ndarray:
 
 
 def _windows(least: int, run: int, functions: int):
-    def keys_of(hashes: np.ndarray) -> np.ndarray:
-        """Columns key, place, before, after; a window has a key for each side that holds a whole run."""
-        run_hash, repeats, out = runs(hashes, run), len(np.unique(hashes)) < len(hashes), []
+    def keys_of(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Columns document, key, place, before, after of texts laid end to end.
+
+        A window has a key for each side that holds a whole run.
+        """
+        run_hash, out = runs(hashes, run), []
+        spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+        repeats = [len(np.unique(hashes[s:e])) < e - s for s, e in spans]
         for f in range(functions):
             own = mixed(hashes, f)
-            found = np.array(compact_windows(own, least, repeats), np.int64)
-            lo, at, hi = found.T
-            right, left = at + run <= len(hashes), at >= run - 1
-            for side, ok, start in ((1, right, at), (2, left, at - run + 1)):
-                where = np.flatnonzero(ok)
-                key = mixed(own[at[where]] ^ run_hash[start[where]], 10 * f + side).view(np.int64)
-                out.append(np.stack([key, at[where], (at - lo)[where], (hi - at)[where]]))
+            found = [compact_windows(own[s:e], least, r) for (s, e), r in zip(spans, repeats)]
+            doc = np.repeat(np.arange(len(spans)), [len(x) for x in found])
+            lo, at, hi = np.array([w for x in found for w in x], np.int64).T
+            place, size = at + bounds[doc], np.diff(bounds)[doc]
+            for side, ok, start in ((1, at + run <= size, place), (2, at >= run - 1, place - run + 1)):
+                k = np.flatnonzero(ok)
+                key = mixed(own[place[k]] ^ run_hash[start[k]], 10 * f + side).view(np.int64)
+                out.append(np.stack([doc[k], key, at[k], (at - lo)[k], (hi - at)[k]]))
         return np.concatenate(out, axis=1)
 
     def make(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part, rows, found = batch.slice(lo, 500), [], []
-                for row, text in zip(part["row_key"].to_pylist(), part["text"].to_pylist()):
-                    hashes = tokens(text)
-                    if len(hashes) >= least:
-                        found.append(keys_of(hashes))
-                        rows.append(np.full(found[-1].shape[1], row, np.int64))
-                if found:
-                    key, at, before, after = np.concatenate(found, axis=1)
+            for lo in range(0, batch.num_rows, 200):
+                part = batch.slice(lo, 200)
+                made = [(row, tokens(text)) for row, text in zip(part["row_key"].to_pylist(), part["text"].to_pylist())]
+                made = [(row, hashes) for row, hashes in made if len(hashes) >= least]
+                if made:
+                    bounds = np.cumsum([0, *[len(h) for _, h in made]])
+                    doc, key, at, before, after = keys_of(np.concatenate([h for _, h in made]), bounds)
+                    rows = np.array([row for row, _ in made], np.int64)[doc]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(rows)), pa.array(key), *[pa.array(x.astype(np.int32)) for x in (at, before, after)]],
+                        [pa.array(rows), pa.array(key), *[pa.array(x.astype(np.int32)) for x in (at, before, after)]],
                         names=["row_key", "key", "at", "before", "after"])
 
     return make
@@ -134,13 +139,35 @@ def _maybe_twice(bits: np.ndarray, log_bits: int):
     return keep
 
 
-def _bitmap(keys: DataFrame, column: str, log_bits: int) -> np.ndarray:
-    """Bits of 64-bit keys as bytes; its bounded size passes the driver."""
-    slot = F.shiftrightunsigned(F.col(column), 64 - log_bits)
-    bit = F.call_function("shiftleft", F.lit(1), slot.bitwiseAND(F.lit(7)).cast("int"))
-    found = keys.groupBy(F.shiftright(slot, 3).alias("slot")).agg(F.bit_or(bit).cast("int").alias("bits")).toPandas()
+def _bitmap(keys: DataFrame, column: str, log_bits: int, log_block: int = 13) -> np.ndarray:
+    """Bits of 64-bit keys as bytes, made in blocks by the tasks; its bounded size passes the driver."""
+
+    def blocks(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            place = batch["key"].to_numpy().view(np.uint64) >> np.uint64(64 - log_bits)
+            block = (place >> np.uint64(log_block)).astype(np.int64)
+            order = np.argsort(block, kind="stable")
+            names, starts = np.unique(block[order], return_index=True)
+            for name, where in zip(names.tolist(), np.split(place[order], starts[1:])):
+                bits = held.setdefault(name, np.zeros(1 << log_block, bool))
+                bits[where & np.uint64((1 << log_block) - 1)] = True
+            if len(held) >= 2048:
+                yield packed(held)
+                held = {}
+        if held:
+            yield packed(held)
+
+    def packed(held):
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(
+            [np.packbits(b, bitorder="little").tobytes() for b in held.values()], pa.binary())], names=["block", "bits"])
+
+    dealt = keys.select(F.col(column).alias("key")).repartition(F.shiftrightunsigned(F.col("key"), 64 - log_bits + log_block))
     out = np.zeros(1 << (log_bits - 3), np.uint8)
-    out[found["slot"].to_numpy()] = found["bits"].to_numpy()
+    size = 1 << (log_block - 3)
+    for row in dealt.mapInArrow(blocks, "block long, bits binary").toLocalIterator():
+        at = row["block"] * size
+        out[at:at + size] |= np.frombuffer(row["bits"], np.uint8)
     return out
 
 
