@@ -281,7 +281,7 @@ _KEPT = "(SELECT * FROM {0} WHERE oid NOT IN (SELECT oid FROM {0} WHERE event_ty
  UNION ALL SELECT 'observation_components', sum(CASE WHEN event_type IN ('signup', 'purchase') THEN 2 ELSE 0 END)::BIGINT FROM {_KEPT}
  UNION ALL SELECT 'observation_notes', sum(CASE WHEN event_type IN ('click', 'signup') THEN 1 ELSE 0 END)::BIGINT FROM {_KEPT}""")
 def _(spark, sf):
-    """Deleted and retracted observations leave no rows in main and child tables."""
+    """Observations deleted or retracted in this load leave no rows in main and child tables."""
     source = stage.resource(spark, sf, "Observation")
     result = jobs.load_resource(
         "Observation", source, jobs.empty_tables(spark, "Observation"), stage.AS_OF,
@@ -290,15 +290,47 @@ def _(spark, sf):
     return quality.row_counts({n: result.tables[n] for n in names})
 
 
-@query("job_load_statistics", f"""SELECT count(*) AS source_rows, count(DISTINCT oid) AS distinct_rows, 0::BIGINT AS duplicates_removed, count(*) AS kept,
- count(*) AS new, 0::BIGINT AS updated, 0::BIGINT AS unversioned, 0::BIGINT AS skipped FROM (SELECT * FROM {flat_sql.EVENTS}
- WHERE oid NOT IN (SELECT oid FROM {flat_sql.EVENTS} WHERE event_type = 'click' AND value > 100)) WHERE event_type <> 'error'""")
+_LIVE = "(SELECT * FROM {0} WHERE oid NOT IN (SELECT oid FROM {0} WHERE event_type = 'click' AND value > 100))".format(flat_sql.EVENTS)
+
+
+@query("job_load_statistics", f"""SELECT count(*) AS source_rows, 0::BIGINT AS behind_mark, count(DISTINCT oid) AS distinct_rows,
+ count(*) - count(DISTINCT oid) AS duplicates_removed, count(*) FILTER (event_type = 'error') AS retracted, 0::BIGINT AS invalid,
+ count(*) FILTER (event_type <> 'error') AS kept, count(*) FILTER (event_type <> 'error') AS new, 0::BIGINT AS updated,
+ 0::BIGINT AS unversioned, 0::BIGINT AS skipped FROM {_LIVE}""")
 def _(spark, sf):
-    source = stage.resource(spark, sf, "Observation").filter("status <> 'entered-in-error'")
-    result = jobs.load_resource("Observation", source, jobs.empty_tables(spark, "Observation"), stage.AS_OF)
+    """Statistics of a load of the whole source."""
+    source = stage.resource(spark, sf, "Observation")
+    result = jobs.load_resource("Observation", source, jobs.empty_tables(spark, "Observation"), stage.AS_OF,
+                                stage=jobs.written_stage(spark, f"statistics-{uuid.uuid4().hex}"))
     return result.statistics.drop("child_rows", "expansion_ratio")
 
 
+@query("job_load_unreadable_time", """SELECT 'first' AS load, CAST(o_orderkey AS VARCHAR) AS encounter_id FROM orders
+ UNION ALL SELECT 'later', CAST(o_orderkey AS VARCHAR) FROM orders""")
+def _(spark, sf):
+    """Encounters without a readable time are loaded, whether they come in a first or in a later load."""
+    source = stage.resource(spark, sf, "Encounter")
+    blurred = source.withColumn("meta", F.when(F.col("class.code") == "emergency", F.col("meta").withField(
+        "lastUpdated", F.lit("unknown"))).otherwise(F.col("meta")))
+    both = jobs.load_resource("Encounter", blurred, jobs.empty_tables(spark, "Encounter"), stage.AS_OF)
+    readable = jobs.load_resource("Encounter", source.filter("class.code <> 'emergency'"), jobs.empty_tables(spark, "Encounter"), stage.AS_OF)
+    path = _folder(spark, "unreadable")
+    jobs.write_load(readable, path)
+    rest = blurred.filter("class.code = 'emergency'")
+    later = jobs.load_resource("Encounter", rest, jobs.read_tables(spark, "Encounter", path), stage.AS_OF)
+    return plain(both.tables["encounters"].select(F.lit("first").alias("load"), "encounter_id").unionByName(
+        later.tables["encounters"].select(F.lit("later").alias("load"), "encounter_id")))
+
+
+@query("job_sample_keeps_deletes", "SELECT count(*) AS rows FROM (SELECT 1 FROM events LIMIT 0)")
+def _(spark, sf):
+    """A sample is taken of what deletion leaves: of ids that all carry the flag nothing is loaded."""
+    source = stage.resource(spark, sf, "Observation").withColumn("isDelete", F.lit(False))
+    flagged = source.unionByName(source.withColumn("isDelete", F.lit(True)))
+    result = jobs.load_resource("Observation", flagged, jobs.empty_tables(spark, "Observation"), stage.AS_OF, sample=5)
+    return result.tables["observations"].agg(F.count("*").alias("rows"))
+
+
 @query("job_second_increment", """SELECT CAST(o_orderkey AS VARCHAR) AS encounter_id,
  CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'in-progress' ELSE 'cancelled' END || CASE WHEN o_orderpriority = '1-URGENT' THEN ' (revised)' ELSE '' END AS status FROM orders""")
 def _(spark, sf):
@@ -313,5 +345,5 @@ def _(spark, sf):
         "meta": F.col("meta").withField("lastUpdated", F.date_format(later, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
     })
     second = jobs.load_resource(
-        "Encounter", again, jobs.read_tables(spark, "Encounter", path), stage.AS_OF, backdate_days=36500)
+        "Encounter", again, jobs.read_tables(spark, "Encounter", path), stage.AS_OF, backdate_days=None)
     return plain(second.tables["encounters"].select("encounter_id", "status"))

@@ -62,7 +62,7 @@ def _(spark, sf):
     return quality.schema_report(orders, datatype("o_orderkey bigint, o_custkey string, o_comment string"))
 
 
-@query("quality_load_statistics", """SELECT n AS source_rows, d AS distinct_rows, n - d AS duplicates_removed, d - s AS kept, a AS new, u AS updated, 0::BIGINT AS unversioned, s AS skipped, n AS child_rows, n / d AS expansion_ratio
+@query("quality_load_statistics", """SELECT n AS source_rows, 0::BIGINT AS behind_mark, d AS distinct_rows, n - d AS duplicates_removed, 0::BIGINT AS retracted, 0::BIGINT AS invalid, d - s AS kept, a AS new, u AS updated, 0::BIGINT AS unversioned, s AS skipped, n AS child_rows, (d + n) / d AS expansion_ratio
  FROM (SELECT count(*) AS n FROM lineitem), (SELECT count(*) AS d, count(*) FILTER (t.k IS NULL) AS a, count(*) FILTER (i.ts > t.ts) AS u, count(*) FILTER (i.ts <= t.ts) AS s
  FROM (SELECT l_orderkey AS k, max(l_shipdate) AS ts FROM lineitem GROUP BY 1) i LEFT JOIN (SELECT o_orderkey AS k, o_orderdate + INTERVAL 60 DAY AS ts FROM orders WHERE o_orderstatus <> 'P') t ON i.k = t.k)""")
 def _(spark, sf):
@@ -71,7 +71,8 @@ def _(spark, sf):
 
     rows = lines(spark, sf)
     newest = rows.groupBy("id").agg(F.max("ts").alias("ts"))
-    return quality.load_statistics(rows, load.classify_versions(newest, loaded(spark, sf), "id", "ts"), {"lines": rows})
+    classified = load.classify_versions(newest, loaded(spark, sf), "id", "ts")
+    return quality.load_statistics(rows, rows, newest, None, classified, {"lines": rows})
 
 
 _REFRESHED = ("fact_practitioners", "fact_patients", "fact_allergy_intolerance", "fact_care_plans", "fact_medication_requests", "fact_procedures",

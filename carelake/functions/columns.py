@@ -75,16 +75,18 @@ def blank_to_null(text: Column) -> Column:
 
 
 def reference_id(ref: Column, resource: str) -> Column:
-    """``Patient/17`` -> ``17``; NULL for another type or an empty id."""
-    return blank_to_null(F.regexp_extract(ref, f"{resource}/(.+)", 1))
+    """``Patient/17`` or ``https://host/Patient/17`` -> ``17``; NULL for another type or an empty id."""
+    return blank_to_null(F.regexp_extract(ref, f"(?:^|/){resource}/(.+)$", 1))
 
 
 def reference_type(ref: Column) -> Column:
-    return blank_to_null(F.regexp_extract(ref, "^([^/]+)/", 1))
+    """Segment before the id."""
+    return blank_to_null(F.regexp_extract(ref, "([^/:]+)/[^/]*$", 1))
 
 
 def reference_any_id(ref: Column) -> Column:
-    return blank_to_null(F.regexp_extract(ref, "/(.+)$", 1))
+    """Last segment of a reference that names a type."""
+    return blank_to_null(F.regexp_extract(ref, "[^/:]/([^/]+)$", 1))
 
 
 def dispatch_reference(ref: Column, resources) -> tuple[dict[str, Column], Column]:

@@ -25,14 +25,20 @@ def bookmark(existing: DataFrame, column: str, backdate_days: int = 0) -> DataFr
     return existing.agg((newest - F.make_dt_interval(F.lit(backdate_days))).alias("mark"))
 
 
-def after_bookmark(df: DataFrame, mark: DataFrame, ts: Column | None = None) -> DataFrame:
+def after_bookmark(df: DataFrame, mark: DataFrame | None, ts: Column | None = None, keep_unreadable: bool = False) -> DataFrame:
     """Rows strictly newer than the mark; everything while there is no mark.
 
-    The mark is a scalar subquery, evaluated once and compared in the scan stage.
+    With ``keep_unreadable`` rows whose time cannot be read are never behind the
+    mark: the comparison of versions decides on them, in whichever batch they
+    arrive.  The mark is a scalar subquery, evaluated once and compared in the
+    scan stage.
     """
+    if mark is None:
+        return df
     ts = C.parse_timestamp(F.col("meta.lastUpdated")) if ts is None else ts
     value = mark.scalar()
-    return df.filter(value.isNull() | (ts > value))
+    newer = value.isNull() | (ts > value)
+    return df.filter(newer | ts.isNull() if keep_unreadable else newer)
 
 
 # --- deletions and versions -------------------------------------------------

@@ -21,25 +21,37 @@ def null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.select("rows", F.inline(pairs)).select("column_name", "rows", "null_count", rate.alias("null_rate"))
 
 
-def load_statistics(source_rows: DataFrame, classified: DataFrame, children: dict[str, DataFrame] | None = None) -> DataFrame:
-    """One row: source rows, duplicates removed, kept and skipped, child expansion.
-
-    ``classified`` holds the newest version per key with its ``version_action``.
+def load_statistics(live: DataFrame, past_mark: DataFrame, newest: DataFrame, retracted: DataFrame | None,
+                    classified: DataFrame, children: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One row: what each step of a load took out, and what it made of the rest.
+
+    ``live`` are the source rows without deleted ids, ``past_mark`` those the
+    high-water mark lets through, ``newest`` their newest versions, ``retracted``
+    the ids set aside as entered in error, ``classified`` the valid ones with their
+    ``version_action``.  ``expansion_ratio`` is rows in all tables per valid row.
     """
-    source = source_rows.agg(F.count("*").alias("source_rows"))
+
+    def rows(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.count("*").alias(name))
+
     actions = classified.agg(
-        F.count("*").alias("distinct_rows"),
+        F.count("*").alias("valid"),
         *[F.count_if(F.col("version_action") == a).alias(a) for a in ("new", "updated", "unversioned", "skipped")],
     )
     child_counts = [df.agg(F.count("*").alias("rows")) for df in (children or {}).values()]
     total = F.lit(0).cast("long")
     if child_counts:
         total = reduce(lambda a, b: a.unionByName(b), child_counts).agg(F.sum("rows")).scalar()
-    out = actions.select("*", source.scalar().alias("source_rows"), total.alias("child_rows"))
+    wrong = F.lit(0).cast("long") if retracted is None else rows(retracted, "n").scalar()
+    out = actions.select(
+        "*", rows(live, "n").scalar().alias("source_rows"), rows(past_mark, "n").scalar().alias("past_mark"),
+        rows(newest, "n").scalar().alias("distinct_rows"), wrong.alias("retracted"), total.alias("child_rows"))
     return out.select(
-        "source_rows", "distinct_rows", (F.col("source_rows") - F.col("distinct_rows")).alias("duplicates_removed"),
-        (F.col("distinct_rows") - F.col("skipped")).alias("kept"), "new", "updated", "unversioned", "skipped",
-        "child_rows", (F.col("child_rows") / F.nullif(F.col("distinct_rows"), F.lit(0))).alias("expansion_ratio"),
+        "source_rows", (F.col("source_rows") - F.col("past_mark")).alias("behind_mark"), "distinct_rows",
+        (F.col("past_mark") - F.col("distinct_rows")).alias("duplicates_removed"), "retracted",
+        (F.col("distinct_rows") - F.col("retracted") - F.col("valid")).alias("invalid"),
+        (F.col("valid") - F.col("skipped")).alias("kept"), "new", "updated", "unversioned", "skipped", "child_rows",
+        ((F.col("valid") + F.col("child_rows")) / F.nullif(F.col("valid"), F.lit(0))).alias("expansion_ratio"),
     )
 
 

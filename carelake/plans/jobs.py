@@ -45,23 +45,24 @@ def load_resource(
     source: DataFrame,
     existing: dict[str, DataFrame],
     as_of=None,
-    backdate_days: int = 0,
+    backdate_days: int | None = 0,
     delete_flag: str = "isDelete",
     sample: int | None = None,
     stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> Load:
     """New tables of ``resource`` after loading ``source`` over ``existing``.
 
-    Steps: sample, drop deleted ids, keep rows past the high-water mark, newest
-    version per id, set retracted ids aside, flatten, compare versions, replace
-    the accepted rows and the children of accepted parents as groups, and take
-    retracted ids out of every table.
+    Steps: drop deleted ids, sample, keep rows past the high-water mark (rewound
+    by ``backdate_days``; None: no mark), newest version per id, set retracted ids
+    aside, flatten, compare versions, replace the accepted rows and the children
+    of accepted parents as groups, and take retracted ids out of every table.
+    An id that was loaded before and is flagged as deleted later stays loaded.
     """
     main, children = tables_of(resource)
     key = RULES[main].key
-    rows = load.drop_deleted(io.sample_rows(source, sample), "id", delete_flag)
-    mark = load.bookmark(existing[main], "meta_last_updated", backdate_days)
-    rows = load.after_bookmark(rows, mark)
+    live = io.sample_rows(load.drop_deleted(source, "id", delete_flag), sample)
+    mark = None if backdate_days is None else load.bookmark(existing[main], "meta_last_updated", backdate_days)
+    rows = load.after_bookmark(live, mark, keep_unreadable=True)
     newest = load.latest_version(rows, "id", C.parse_timestamp(F.col("meta.lastUpdated")))
     if stage is not None:
         newest = stage(newest, "accepted-input")
@@ -80,7 +81,7 @@ def load_resource(
         tables[table] = load.replace_children(existing[table], rows_in, keys, key)
     if has_status:
         tables = load.retract(tables, wrong.select(F.col("id").alias(key)), key)
-    return Load(tables, quality.load_statistics(rows, classified, incoming))
+    return Load(tables, quality.load_statistics(live, rows, newest, wrong, classified, incoming))
 
 
 def write_load(result: Load, root: str, dry_run: bool = False) -> dict[str, str]:

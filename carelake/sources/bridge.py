@@ -70,20 +70,8 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores; leave a large one as it is read.
-
-    A table of one file with one row group reaches a single task.  Below 128 MB
-    per core, by the size Spark itself estimates, moving the rows costs little;
-    larger inputs come in many splits already and are not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * 128 * 1024 * 1024 else df
-
-
 def _input(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spread(load(spark, folder, table))
+    return load(spark, folder, table)
 
 
 def _text(*parts) -> Column:

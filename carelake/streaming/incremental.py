@@ -36,7 +36,7 @@ def run_increments(
             existing = jobs.read_tables(session, resource, generation_path(root, batch_id - 1))
         # The checkpoint already decides what is new; versions still guard against old copies.
         result = jobs.load_resource(
-            resource, batch, existing, as_of, backdate_days=36500,
+            resource, batch, existing, as_of, backdate_days=None,
             stage=jobs.written_stage(session, f"{resource}-{batch_id}"),
         )
         jobs.write_load(result, generation_path(root, batch_id))

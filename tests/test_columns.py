@@ -38,7 +38,8 @@ def test_dates_and_short_dates(spark, text, want):
 
 @pytest.mark.parametrize("ref, pid, kind, any_id", [
     ("Patient/1", "1", "Patient", "1"), ("Group/1", None, "Group", "1"), ("Patient/", None, "Patient", None),
-    (None, None, None, None), ("malformed", None, None, None),
+    (None, None, None, None), ("malformed", None, None, None), ("OtherPatient/7", None, "OtherPatient", "7"),
+    ("https://h/fhir/Patient/1", "1", "Patient", "1"),
 ])
 def test_references(spark, ref, pid, kind, any_id):
     assert one(spark, C.reference_id(col("r"), "Patient"), r=ref) == pid

@@ -125,7 +125,8 @@ def test_observation_loads(spark, resource_rows, tmp_path):
         observation(3, 5), observation(4, 1, "entered-in-error"), observation(5, 1)),
         jobs.empty_tables(spark, "Observation"), "2024-02-01", stage=stage("t1"))
     stats = dicts(first.statistics)[0]
-    assert stats["source_rows"] == 5 and stats["distinct_rows"] == 3 and stats["kept"] == 3
+    assert [stats[c] for c in ("source_rows", "behind_mark", "distinct_rows", "duplicates_removed", "retracted", "invalid", "kept")] == [
+        5, 0, 4, 1, 1, 0, 3]
     tables = settle(spark, first, tmp_path / "1")
     assert count(tables, "observations") == 3 and count(tables, "observation_notes", "1") == 2
 
@@ -147,3 +148,21 @@ def test_dry_run_and_sample(spark, resource_rows, tmp_path):
     result = jobs.load_resource("Medication", source, jobs.empty_tables(spark, "Medication"), sample=2)
     jobs.write_load(result, str(tmp_path / "dry"), dry_run=True)
     assert not (tmp_path / "dry").exists() and result.tables["medications"].count() == 2
+
+
+def test_unreadable_time_is_loaded_in_any_batch(spark, resource_rows, tmp_path):
+    unreadable = observation(9, 1)
+    unreadable["meta"] = {"lastUpdated": "unknown"}
+    first = jobs.load_resource("Observation", resource_rows("Observation", unreadable, observation(1, 5)), jobs.empty_tables(spark, "Observation"))
+    assert count(first.tables, "observations") == 2
+    tables = settle(spark, jobs.load_resource("Observation", resource_rows("Observation", observation(1, 5)), jobs.empty_tables(spark, "Observation")),
+                    tmp_path / "1")
+    later = jobs.load_resource("Observation", resource_rows("Observation", unreadable, observation(2, 3)), tables)
+    assert sorted(r["observation_id"] for r in dicts(later.tables["observations"])) == ["1", "9"]
+    assert dicts(later.statistics)[0]["behind_mark"] == 1
+
+
+def test_sample_is_taken_after_deletion(spark, resource_rows):
+    source = resource_rows("Observation", observation(5, 1), observation(5, 2, isDelete=True))
+    result = jobs.load_resource("Observation", source, jobs.empty_tables(spark, "Observation"), sample=1)
+    assert count(result.tables, "observations") == 0
