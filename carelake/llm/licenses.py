@@ -117,6 +117,11 @@ def _starts(t: Template, rare: str, offset: int, coverage: float) -> Column:
     return F.filter(covered, lambda x: x["part"] >= coverage)
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is evaluated once: the optimizer copies expressions into their uses, but not across a generator."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: tuple[Template, ...] = BASE,
          notices: tuple[Template, ...] = NOTICES, coverage: float = 0.8) -> DataFrame:
     """One row per document: id, ``n_words``, ``base_hits`` and ``notice_hits`` (label, start, covered part).
@@ -125,12 +130,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base:
     """
     templates = (*base, *notices)
     rare = rare_words(templates, document_frequencies(docs, text_col, templates))
-    rows = docs.select(F.col(id_col), words(F.col(text_col)).alias("words"))
+    rows = docs.select(F.col(id_col), F.explode(F.array(words(F.col(text_col)))).alias("words"))
     index = F.array(*map(F.lit, sorted({w for w, _ in rare})))
     held = F.array_intersect("words", index)
     anchors = F.when(F.size(held) > 0, F.filter(
         F.sequence(F.lit(0), F.size("words") - 1), lambda p: F.array_contains(F.col("held"), F.get("words", p))))
-    rows = rows.withColumn("held", held).withColumn("anchors", anchors)
+    rows = _once(_once(rows, "held", held), "anchors", anchors)
 
     def named(label: str, places: Column) -> Column:
         return F.transform(places, lambda x: F.struct(F.lit(label).alias("label"), x["at"].alias("at"), x["part"].alias("part")))
