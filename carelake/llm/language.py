@@ -19,6 +19,7 @@ predicted like any other; repeated rows come back as often as they came.
 
 from __future__ import annotations
 
+import pickle
 from typing import NamedTuple
 
 import numpy as np
@@ -142,8 +143,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key: Co
         **options) -> Model | None:
     """Train on about ``per_language`` texts of each language (the bound of the sample).
 
-    The sample takes rows by a hash of ``key`` (the text if not given); only it
-    is collected, as counted grams.
+    The sample takes rows by a hash of ``key`` (the text if not given).  Its grams
+    are counted where its rows are, training runs in one task on these counts (of
+    the bounded sample only), and the driver receives the model.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
                        F.xxhash64(F.lit("language sample"), F.col(text_col) if key is None else key).alias("h"))
@@ -158,12 +160,16 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key: Co
         for batch in batches:
             out = [(lang, *x) for text, lang, h in zip(batch["text"], batch["lang"], batch["h"]) if has_letter(text)
                    for x in gram_counts(text, h)]
-            yield pd.DataFrame({"lang": [x[0] for x in out], "buckets": [x[1] for x in out], "shares": [x[2] for x in out]})
+            yield pd.DataFrame({"examples": [pickle.dumps(out)]})
 
-    found = sample.mapInPandas(counted, "lang string, buckets array<int>, shares array<float>").toPandas()
-    found = found.assign(key=[x.tobytes() for x in map(np.asarray, found["buckets"])]).sort_values(["lang", "key"])
-    examples = [(np.asarray(b, np.int32), np.asarray(s, np.float32)) for b, s in zip(found["buckets"], found["shares"])]
-    return train(examples, found["lang"].tolist(), **options)
+    def trained(batches):
+        found = [x for batch in batches for packed in batch["examples"] for x in pickle.loads(packed)]
+        found.sort(key=lambda x: (x[0], x[1].tobytes(), x[2].tobytes()))  # the same model in any order of arrival
+        yield pd.DataFrame({"model": [pickle.dumps(train([x[1:] for x in found], [x[0] for x in found], **options))]})
+
+    packed = sample.mapInPandas(counted, "examples binary").repartition(1)
+    model = packed.mapInPandas(trained, "model binary").first()
+    return None if model is None else pickle.loads(model["model"])
 
 
 def predictions(model: Model | None, text: Column) -> Column:
