@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 15
 UNKNOWN = "und"
-PIECE = 1 << 20
+PIECE = 1 << 17  # bytes; a piece's arrays take about a hundred times that
 _FOLD = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
 
 

@@ -53,7 +53,7 @@ class Encoder:
     is dropped.  Other texts are encoded whole.
     """
 
-    def __init__(self, path: str, most_words: int = 600_000):
+    def __init__(self, path: str, most_words: int = 300_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
@@ -88,6 +88,11 @@ class Encoder:
             out[k] = ids
         return out
 
+    def forget(self) -> None:
+        """Drop the caches; a worker process outlives its task and should not keep their memory."""
+        self.cache.clear()
+        self.words.clear()
+
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of texts without white space."""
         out: list[bytes | None] = [None] * len(chunks)
@@ -250,6 +255,7 @@ def _write(folder: str, tokenizer: str, end_id: int):
         if writer is not None:
             tokens = writer.close()
             out.close()
+            codec.forget()
             yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [f"{folder}/{name}"], "n_docs": [len(writer.ids)],
                                               "n_tokens": [tokens]}, schema=MANIFEST)
 
