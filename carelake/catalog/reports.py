@@ -332,6 +332,8 @@ def _(spark, sf):
 
 _M = "patient_id, observation_id, effective_datetime, value_quantity_value, value_quantity_unit, primary_code, primary_display"
 PSA_SQL = f"(SELECT {_M} FROM fact_observations WHERE primary_code IN {_in(codes.PSA_TREND_CODES)} OR primary_display ILIKE '%PSA%')"
+CONCENTRATION_SQL = (f"(SELECT {_M} FROM {PSA_SQL} WHERE value_quantity_unit IN {_in(codes.PSA_UNITS)} "
+                     "AND coalesce(primary_display, '') NOT ILIKE '%ratio%')")
 TESTOSTERONE_SQL = (f"(SELECT {_M} FROM fact_observations WHERE primary_code IN {_in(codes.TESTOSTERONE_CODES)} "
                     "OR primary_display ILIKE '%testosterone%')")
 _MT = typed("fact_observations", previous_value="decimal", previous_datetime="timestamp", days_between="int", nadir="decimal",
@@ -340,6 +342,7 @@ _MCOLS = tuple(_M.split(", "))
 _W = "(PARTITION BY patient_id ORDER BY effective_datetime NULLS FIRST, observation_id)"
 TREND_SQL = f"""SELECT *, date_diff('day', CAST(previous_datetime AS DATE), CAST(effective_datetime AS DATE)) AS days_between FROM (SELECT *,
  lag(value_quantity_value) OVER {_W} AS previous_value, lag(effective_datetime) OVER {_W} AS previous_datetime FROM {PSA_SQL})"""
+_CONCENTRATION_TREND = TREND_SQL.replace(PSA_SQL, CONCENTRATION_SQL)
 _TREND = ("previous_value", "previous_datetime", "days_between")
 _DOUBLING = """CASE WHEN previous_value > 0 AND value_quantity_value > previous_value AND days_between > 0
  THEN ln(2) * days_between / ln(CAST(value_quantity_value AS DOUBLE) / CAST(previous_value AS DOUBLE)) END"""
@@ -353,11 +356,11 @@ def _(spark, sf):
 @query("series_doubling_time", oracle(select(
     (*_MCOLS, *_TREND, "doubling_days", "is_high_risk"), _MT,
     f"""SELECT * REPLACE (round(doubling_days, 4) AS doubling_days), doubling_days < 10 * 365.25 / 12 AS is_high_risk
-    FROM (SELECT *, {_DOUBLING} AS doubling_days FROM ({TREND_SQL}))""")))
+    FROM (SELECT *, {_DOUBLING} AS doubling_days FROM ({_CONCENTRATION_TREND}))""")))
 def _(spark, sf):
     from pyspark.sql import functions as F
 
-    out = series.doubling_time(oncology.psa_values(stage.Facts(spark, sf)))
+    out = series.doubling_time(oncology.psa_concentrations(stage.Facts(spark, sf)))
     return plain(out.withColumn("doubling_days", F.round("doubling_days", 4)))
 
 
@@ -367,12 +370,12 @@ _PROGRESSION = f"""SELECT *, is_rise AND coalesce(CAST(later_high AS DOUBLE) >=
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE) AS nadir,
   CAST(max(value_quantity_value) OVER (PARTITION BY patient_id ORDER BY CAST(effective_datetime AS DATE)
   RANGE BETWEEN INTERVAL {codes.CONFIRM_DAYS} DAY FOLLOWING AND UNBOUNDED FOLLOWING) AS DOUBLE) AS later_high
- FROM {PSA_SQL} WHERE value_quantity_value IS NOT NULL))"""
+ FROM {CONCENTRATION_SQL} WHERE value_quantity_value IS NOT NULL))"""
 
 
 @query("series_progression", oracle(select((*_MCOLS, "nadir", "later_high", "is_rise", "is_confirmed"), _MT, _PROGRESSION)))
 def _(spark, sf):
-    return plain(series.progression(oncology.psa_values(stage.Facts(spark, sf))))
+    return plain(series.progression(oncology.psa_concentrations(stage.Facts(spark, sf))))
 
 
 _STATUS = """CASE WHEN value_quantity_value < 50 AND value_quantity_unit = 'ng/dL' THEN 'Castrate'
@@ -394,7 +397,9 @@ def _hormone(people: str) -> str:
  LEFT JOIN (SELECT DISTINCT patient_id FROM fact_medication_requests WHERE {_drugs(codes.ADT_SYNONYMS)}) a ON p.patient_id = a.patient_id
  LEFT JOIN (SELECT *, {_STATUS}, row_number() OVER (PARTITION BY patient_id ORDER BY effective_datetime DESC NULLS LAST, observation_id DESC) AS n
   FROM {TESTOSTERONE_SQL}) s ON p.patient_id = s.patient_id AND s.n = 1
- LEFT JOIN (SELECT patient_id, bool_or(is_confirmed) AS c FROM ({_PROGRESSION}) GROUP BY patient_id) r ON p.patient_id = r.patient_id"""
+ LEFT JOIN (SELECT g.patient_id, bool_or(is_confirmed AND (f.since IS NULL OR effective_datetime >= f.since)) AS c FROM ({_PROGRESSION}) g
+  LEFT JOIN (SELECT patient_id, min(authored_on) AS since FROM fact_medication_requests WHERE {_drugs(codes.ADT_SYNONYMS)} GROUP BY patient_id) f
+  ON g.patient_id = f.patient_id GROUP BY g.patient_id) r ON p.patient_id = r.patient_id"""
 
 
 @query("series_hormone_status", oracle(_hormone(f"({COHORT_SQL})")))

@@ -49,6 +49,7 @@ PSA_CODES = (
 )
 CD4_CODES = ("54218-3", "24467-3", "8123-2", "8122-4", "8124-0")
 PSA_TREND_CODES = ("2857-1", "83112-3", "19195-7", "35741-8")
+PSA_UNITS = ("ng/mL", "ug/L")  # one concentration under two names
 TESTOSTERONE_CODES = ("2986-8", "14913-8")
 
 # Liver disease (fixed values).

@@ -29,13 +29,16 @@ def assemble(
     lists: dict[str, DataFrame] | None = None,
     sets: dict[str, DataFrame] | None = None,
     singles: dict[str, DataFrame] | None = None,
+    keys: DataFrame | None = None,
+    inside: bool = True,
 ) -> DataFrame:
     """Main columns plus one sorted array per child.
 
     Arrays are sorted by their native ordering (``sort_array``), which is
     compiled, unlike the comparator of ``array_sort``.  ``lists`` keep repeats, ``sets`` drop them, ``singles`` hold at most one row
     per key and stay a struct.  Absent children give an empty array (or NULL
-    struct).  ``main`` has one row per key.
+    struct).  ``main`` has one row per key.  With ``keys`` only the entities with
+    (or without, if not ``inside``) one of these keys are nested.
     """
     lists, sets, singles = lists or {}, sets or {}, singles or {}
     fields = [c for c in main.columns if c != key]
@@ -45,7 +48,10 @@ def assemble(
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
     # Groups are small, so partial lists would not shrink the data; shuffling the
     # plain rows first is about twice as fast as shuffling serialized lists.
-    grouped = union.repartition(key).groupBy(key).agg(
+    rows = union.repartition(key)
+    if keys is not None:
+        rows = rows.join(keys, key, "left_semi" if inside else "left_anti")
+    grouped = rows.groupBy(key).agg(
         F.first(MAIN, ignorenulls=True).alias(MAIN),
         *[F.sort_array(F.collect_list(n)).alias(n) for n in lists],
         *[F.sort_array(F.collect_set(n)).alias(n) for n in sets],

@@ -3,48 +3,58 @@
 A window over a whole key would put all rows of a hot key in one task.  Here
 rows are windowed inside (key, hour), and what earlier or later hours contribute
 comes from an hourly summary, whose windows hold at most one row per hour of the
-calendar and key.  Results equal those of the plain window.
+calendar and key.  Results equal those of the plain window, for the NULL key as well.
+Where rows without a time are ordered by a tie alone, those of one key share a slot.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake.functions import codes
 
-SLOT = "_slot"
+KEY, SLOT, SHARE = "_key", "_slot", "_share"
+SHARES = 64
 OLDEST, NEWEST = "0001-01-01 00:00:00", "9999-12-31 23:00:00"
 
 
-def _with_slot(df: DataFrame, ts: str, unknown: str, unit: str = "hour") -> DataFrame:
-    """Add the slot of a row; rows with no time get the ``unknown`` slot."""
-    return df.withColumn(SLOT, F.coalesce(F.date_trunc(unit, F.col(ts)), F.lit(unknown).cast("timestamp")))
+def _with_slot(df: DataFrame, key: str, ts: str, unknown: str, unit: str = "hour") -> DataFrame:
+    """Add the key as a struct and the slot of a row; rows with no time get the ``unknown`` slot."""
+    slot = F.coalesce(F.date_trunc(unit, F.col(ts)), F.lit(unknown).cast("timestamp"))
+    return df.withColumns({KEY: F.struct(key), SLOT: slot})
 
 
-def _attach(df: DataFrame, summary: DataFrame, key: str) -> DataFrame:
+def _attach(df: DataFrame, summary: DataFrame, *more: str) -> DataFrame:
     """Join a per-(key, slot) summary on the partitioning the rows already have.
 
-    Plain equality keeps that partitioning (a null-safe join would shuffle the
-    rows again), so rows with a NULL key get no summary.  The summary is spread
-    by (key, slot) explicitly: its own window left it clustered by key alone,
-    and the rows must not follow it there.
+    The join compares the key wrapped in a struct, which is equal to itself also
+    when the key is NULL, and keeps that partitioning.  The summary is spread by
+    (key, slot) explicitly: its own window left it clustered by key alone, and the
+    rows must not follow it there.
     """
-    summary = summary.withColumnsRenamed({key: "_k", SLOT: "_s"}).repartition("_k", "_s")
-    return df.join(summary, (F.col(key) == F.col("_k")) & (F.col(SLOT) == F.col("_s")), "left").drop("_k", "_s")
+    by = (KEY, SLOT, *more)
+    summary = summary.withColumnsRenamed({c: f"{c}_of" for c in by}).repartition(*[f"{c}_of" for c in by])
+    same = reduce(Column.__and__, [F.col(c) == F.col(f"{c}_of") for c in by])
+    return df.join(summary, same, "left").drop(*by, *[f"{c}_of" for c in by])
 
 
 def recency_rank(df: DataFrame, key: str, ts: str, name: str) -> DataFrame:
     """``rank()`` per key, newest first, rows without time before all others."""
-    df = _with_slot(df, ts, NEWEST)
-    inside = F.rank().over(Window.partitionBy(key, SLOT).orderBy(F.col(ts).desc_nulls_first()))
-    newer = Window.partitionBy(key).orderBy(F.col(SLOT).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    own = df.columns
+    df = _with_slot(df, key, ts, NEWEST)
+    # Rows without a time are peers, so they need not meet: they are dealt into shares.
+    df = df.withColumn(SHARE, F.when(F.col(ts).isNull(), F.pmod(F.xxhash64(*own), F.lit(SHARES))).otherwise(0))
+    inside = F.rank().over(Window.partitionBy(KEY, SLOT, SHARE).orderBy(F.col(ts).desc_nulls_first()))
+    newer = Window.partitionBy(KEY).orderBy(F.unix_seconds(SLOT).desc()).rangeBetween(Window.unboundedPreceding, -1)
     offset = (
-        df.groupBy(key, SLOT).agg(F.count("*").alias("_rows"))
-        .select(key, SLOT, F.coalesce(F.sum("_rows").over(newer), F.lit(0)).alias("_newer"))
+        df.groupBy(KEY, SLOT, SHARE).agg(F.count("*").alias("_rows"))
+        .select(KEY, SLOT, SHARE, F.coalesce(F.sum("_rows").over(newer), F.lit(0)).alias("_newer"))
     )
-    out = _attach(df.withColumn("_inside", inside), offset, key)
-    return out.withColumn(name, (F.col("_inside") + F.col("_newer")).cast("int")).drop("_inside", "_newer", SLOT)
+    out = _attach(df.withColumn("_inside", inside), offset, SHARE)
+    return out.withColumn(name, (F.col("_inside") + F.col("_newer")).cast("int")).drop("_inside", "_newer")
 
 
 def previous_row(df: DataFrame, key: str, ts: str, tie: str, carry: dict[str, str]) -> DataFrame:
@@ -52,49 +62,49 @@ def previous_row(df: DataFrame, key: str, ts: str, tie: str, carry: dict[str, st
 
     ``carry`` maps source columns to the names of the lagged columns.
     """
-    df = _with_slot(df, ts, OLDEST)
+    df = _with_slot(df, key, ts, OLDEST)
     values = F.struct(*[F.col(c).alias(n) for c, n in carry.items()])
     order = F.struct(F.col(ts), F.col(tie))
-    inside = Window.partitionBy(key, SLOT).orderBy(F.col(ts).asc_nulls_first(), F.col(tie))
-    by_slot = Window.partitionBy(key).orderBy(F.col(SLOT))
+    inside = Window.partitionBy(KEY, SLOT).orderBy(F.col(ts).asc_nulls_first(), F.col(tie))
+    by_slot = Window.partitionBy(KEY).orderBy(F.col(SLOT))
     last = (
-        df.groupBy(key, SLOT).agg(F.max_by(values, order).alias("_last"))
-        .select(key, SLOT, F.lag("_last").over(by_slot).alias("_before"))
+        df.groupBy(KEY, SLOT).agg(F.max_by(values, order).alias("_last"))
+        .select(KEY, SLOT, F.lag("_last").over(by_slot).alias("_before"))
     )
     df = df.withColumns({"_lag": F.lag(values).over(inside), "_nth": F.row_number().over(inside)})
-    out = _attach(df, last, key)
+    out = _attach(df, last)
     previous = F.when(F.col("_nth") > 1, F.col("_lag")).otherwise(F.col("_before"))
-    return out.withColumns({n: previous[n] for n in carry.values()}).drop("_lag", "_nth", "_before", SLOT)
+    return out.withColumns({n: previous[n] for n in carry.values()}).drop("_lag", "_nth", "_before")
 
 
 def running_low(df: DataFrame, key: str, ts: str, tie: str, value: str, name: str) -> DataFrame:
     """Lowest value among the preceding rows of the key."""
-    df = _with_slot(df, ts, OLDEST)
+    df = _with_slot(df, key, ts, OLDEST)
     inside = (
-        Window.partitionBy(key, SLOT).orderBy(F.col(ts).asc_nulls_first(), F.col(tie))
+        Window.partitionBy(KEY, SLOT).orderBy(F.col(ts).asc_nulls_first(), F.col(tie))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    earlier = Window.partitionBy(key).orderBy(F.col(SLOT)).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(KEY).orderBy(F.col(SLOT)).rowsBetween(Window.unboundedPreceding, -1)
     lows = (
-        df.groupBy(key, SLOT).agg(F.min(value).alias("_low"))
-        .select(key, SLOT, F.min("_low").over(earlier).alias("_earlier"))
+        df.groupBy(KEY, SLOT).agg(F.min(value).alias("_low"))
+        .select(KEY, SLOT, F.min("_low").over(earlier).alias("_earlier"))
     )
-    out = _attach(df.withColumn("_inside", F.min(value).over(inside)), lows, key)
-    return out.withColumn(name, F.least("_inside", "_earlier")).drop("_inside", "_earlier", SLOT)
+    out = _attach(df.withColumn("_inside", F.min(value).over(inside)), lows)
+    return out.withColumn(name, F.least("_inside", "_earlier")).drop("_inside", "_earlier")
 
 
 def later_high(df: DataFrame, key: str, ts: str, value: str, days: int, name: str) -> DataFrame:
     """Highest value of the key dated at least ``days`` later."""
-    df = _with_slot(df, ts, OLDEST, "day")
+    df = _with_slot(df, key, ts, OLDEST, "day")
     later = (
-        Window.partitionBy(key).orderBy("_number").rangeBetween(days, Window.unboundedFollowing)
+        Window.partitionBy(KEY).orderBy("_number").rangeBetween(days, Window.unboundedFollowing)
     )
     highs = (
-        df.filter(F.col(ts).isNotNull()).groupBy(key, SLOT).agg(F.max(value).alias("_high"))
+        df.filter(F.col(ts).isNotNull()).groupBy(KEY, SLOT).agg(F.max(value).alias("_high"))
         .withColumn("_number", F.unix_date(F.col(SLOT).cast("date")))
-        .select(key, SLOT, F.max("_high").over(later).alias(name))
+        .select(KEY, SLOT, F.max("_high").over(later).alias(name))
     )
-    return _attach(df, highs, key).withColumn(name, F.when(F.col(ts).isNotNull(), F.col(name))).drop(SLOT)
+    return _attach(df, highs).withColumn(name, F.when(F.col(ts).isNotNull(), F.col(name)))
 
 
 # --- laboratory series ----------------------------------------------------------

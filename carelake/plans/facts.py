@@ -67,23 +67,22 @@ def patients(t: Tables, as_of=None) -> DataFrame:
         text=F.when(filled(F.col("address_text")), F.col("address_text")).otherwise(written),
     )
     year_ago = F.add_months(today(as_of), -12)
-    visits = t["encounters"]
-    counts = nest.distinct_counts(
-        visits, "patient_id", "encounter_id",
-        emergency=F.col("class_code") == "emergency",
-        inpatient=F.col("class_code") == "inpatient",
-        recent=F.col("start_time") >= year_ago,
+    # Ids are keys of their tables, so plain counts, combined before the shuffle, are distinct counts.
+    visits = t["encounters"].groupBy("patient_id").agg(
+        F.count("encounter_id").alias("total"),
+        F.count_if(F.col("class_code") == "emergency").alias("emergency"),
+        F.count_if(F.col("class_code") == "inpatient").alias("inpatient"),
+        F.count_if(F.col("start_time") >= year_ago).alias("recent"),
+        F.max("start_time").alias("last_seen"),
     )
-    last = visits.groupBy("patient_id").agg(F.max("start_time").alias("last_seen"))
-    conditions = nest.distinct_counts(
-        t["conditions"], "patient_id", "condition_id", active=F.col("clinical_status_code") == "active"
+    conditions = t["conditions"].groupBy("patient_id").agg(
+        F.count("condition_id").alias("total"), F.count_if(F.col("clinical_status_code") == "active").alias("active")
     )
     df = nest.assemble(
         t["patients"], "patient_id",
         lists={"_names": names, "_addresses": addresses},
         singles={
-            "_visits": part(counts, "patient_id", **{c: F.col(c) for c in ("total", "emergency", "inpatient", "recent")}),
-            "_last": part(last, "patient_id", at=F.col("last_seen")),
+            "_visits": part(visits, "patient_id", **{c: F.col(c) for c in ("total", "emergency", "inpatient", "recent", "last_seen")}),
             "_conditions": part(conditions, "patient_id", total=F.col("total"), active=F.col("active")),
         },
     )
@@ -91,7 +90,7 @@ def patients(t: Tables, as_of=None) -> DataFrame:
     name_fields = ("name_text", "family_name", "given_names", "prefix", "suffix", "name_use")
     primary = {"use": "name_use", "text": "name_text", "family": "family_name", "given": "given_names",
                "prefix": "prefix", "suffix": "suffix"}
-    seen, born = F.col("_last.at"), F.col("birth_date")
+    seen, born = F.col("_visits.last_seen"), F.col("birth_date")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     df = _etl(df).select(
         "patient_id", "active", "gender", "birth_date", "deceased", "deceased_date", "managing_organization_id",
@@ -181,7 +180,7 @@ def encounter_diagnoses(t: Tables) -> tuple[DataFrame, DataFrame]:
         "condition_id", "encounter_id", "onset_datetime"
     )
     coded = conditions.join(t["condition_codes"].drop("meta_last_updated"), "condition_id", "left")
-    counts = nest.distinct_counts(conditions, "encounter_id", "condition_id")
+    counts = conditions.groupBy("encounter_id").agg(F.count("condition_id").alias("total"))  # an id is a key of the table
     distinct = coded.groupBy(
         "encounter_id", "code_system", "code_code", F.coalesce("code_display", "code_text").alias("display")
     ).agg(F.min("onset_datetime").alias("onset"))
@@ -329,14 +328,17 @@ def conditions(t: Tables, as_of=None) -> DataFrame:
 # --- observations ---------------------------------------------------------------
 
 
-def is_vital(categories: Column) -> Column:
-    return F.exists(
-        categories, lambda x: F.coalesce((x["code"] == "vital-signs") | x["display"].ilike("%vital%"), F.lit(False))
-    )
+def vital_ids(categories: DataFrame) -> DataFrame:
+    """Ids of the observations that have a vital-signs category."""
+    vital = (F.col("category_code") == "vital-signs") | F.col("category_display").ilike("%vital%")
+    return categories.filter(vital).select("observation_id").distinct()
+
 
+def split_observations(t: Tables, vital: bool) -> DataFrame:
+    """Observations that are vital signs, or that are not, with their children nested.
 
-def all_observations(t: Tables) -> DataFrame:
-    """Observations with their children nested; ``is_vital`` splits the two marts."""
+    The rows are split before they are nested, on the partitioning that nesting needs.
+    """
     key = "observation_id"
     text = lambda prefix: _cols(prefix, "system", "code", "display", "text")
     coding = lambda p: F.array(F.struct(*[F.col(f"{p}_{f}").alias(f) for f in ("system", "code", "display")]))
@@ -371,6 +373,7 @@ def all_observations(t: Tables) -> DataFrame:
                           text=F.col("note_text"), time=F.col("note_time"), authorReference=F.col("note_author_reference")),
             "performers": part(t["observation_performers"], key, performerId=F.col("performer_id"), performerType=F.col("performer_type")),
         },
+        keys=vital_ids(t["observation_categories"]), inside=vital,
     ).filter(F.col("status") != "entered-in-error")
     best = F.get("codes", F.lit(0))
     category = F.get(F.sort_array(F.transform(
@@ -391,16 +394,15 @@ def all_observations(t: Tables) -> DataFrame:
         *[nest.null_if_empty(F.col(c)).alias(c)
           for c in ("components", "categories", "reference_ranges", "interpretations", "notes", "performers")],
         *[F.size(c).cast("long").alias(f"{n}_count") for c, n in counted.items()],
-        is_vital(F.col("categories")).alias("is_vital"),
     )
 
 
 def observations(t: Tables, as_of=None) -> DataFrame:
-    return all_observations(t).filter(~F.col("is_vital")).drop("is_vital")
+    return split_observations(t, vital=False)
 
 
 def vital_signs(t: Tables, as_of=None) -> DataFrame:
-    return all_observations(t).filter("is_vital").drop("is_vital")
+    return split_observations(t, vital=True)
 
 
 # --- reports, documents, medication requests --------------------------------------

@@ -71,18 +71,18 @@ def documents_with_content(facts: Frames, tables: Frames, since: str = codes.COH
 def content_breakdown(facts: Frames, tables: Frames, since: str = codes.COHORT_FROM, from_year: int = 2024) -> DataFrame:
     """Documents and patients per attachment type.
 
-    Each pair (type, document) and (type, patient) is reduced first, so the few
-    types do not gather all rows.
+    A document belongs to one patient, so one chain of aggregations, over
+    (type, document), (type, patient) and then type, gives both counts, and the
+    few types do not gather all rows.
     """
     group = seen_group(facts, since=since).select("patient_id").distinct()
     rows = _documents(facts, from_year).join(group, "patient_id").join(_linked_content(tables), "document_reference_id")
     kind = "attachment_content_type"
-    documents = rows.select(kind, "document_reference_id").distinct().groupBy(kind).agg(F.count("*").alias("document_count"))
-    patients = rows.select(kind, "patient_id").distinct().groupBy(kind).agg(F.count("*").alias("patient_count"))
-    patients = patients.withColumnRenamed(kind, "_kind")
-    return documents.join(patients, F.col(kind).eqNullSafe(F.col("_kind"))).drop("_kind").orderBy(
-        F.col("document_count").desc()
-    )
+    documents = rows.groupBy(kind, "document_reference_id").agg(F.max("patient_id").alias("patient_id"))
+    patients = documents.groupBy(kind, "patient_id").agg(F.count("*").alias("documents"))
+    return patients.groupBy(kind).agg(
+        F.sum("documents").alias("document_count"), F.count("*").alias("patient_count")
+    ).orderBy(F.col("document_count").desc())
 
 
 def medication_list(facts: Frames, cohort: DataFrame, authored_from: str = "2023-01-01") -> DataFrame:
@@ -125,6 +125,12 @@ def psa_values(facts: Frames) -> DataFrame:
     return measurements(facts, codes.PSA_TREND_CODES, ["%PSA%"])
 
 
+def psa_concentrations(facts: Frames, units=codes.PSA_UNITS) -> DataFrame:
+    """The PSA values that are concentrations: limits in ng/mL hold for no ratio or percentage."""
+    ratio = F.coalesce(F.col("primary_display").ilike("%ratio%"), F.lit(False))
+    return psa_values(facts).filter(F.col("value_quantity_unit").isin(*units) & ~ratio)
+
+
 def testosterone_values(facts: Frames) -> DataFrame:
     return measurements(facts, codes.TESTOSTERONE_CODES, ["%testosterone%"])
 
@@ -134,21 +140,33 @@ def castration_status(facts: Frames) -> DataFrame:
     return testosterone_values(facts).withColumn("castration_status", status)
 
 
-def hormone_status(facts: Frames, cohort: DataFrame) -> DataFrame:
+def hormone_status(facts: Frames, cohort: DataFrame, lasts_days: int | None = None) -> DataFrame:
     """Z19.1 / Z19.2 per cohort patient, with the reason.
 
     No androgen deprivation, or a latest testosterone not at castrate level, or
     no confirmed PSA progression: hormone sensitive.  Castrate and progressing:
     hormone resistant.
+
+    A treated patient's progression counts from the first request on and, with
+    ``lasts_days``, until so many days after the last one; requests without any
+    date do not limit it.
     """
-    treated = facts["fact_medication_requests"].filter(drug_match(codes.ADT_SYNONYMS)).select("patient_id").distinct()
+    treated = facts["fact_medication_requests"].filter(drug_match(codes.ADT_SYNONYMS)).groupBy("patient_id").agg(
+        F.min("authored_on").alias("_from"), F.max("authored_on").alias("_to")
+    )
     latest = castration_status(facts).groupBy("patient_id").agg(
         F.max_by("castration_status", F.struct("effective_datetime", "observation_id")).alias("latest_status")
     )
-    rising = series.progression(psa_values(facts)).groupBy("patient_id").agg(F.max("is_confirmed").alias("progressed"))
+    at = F.col("effective_datetime")
+    during = F.coalesce(at >= F.col("_from"), F.lit(True))
+    if lasts_days is not None:
+        during = during & F.coalesce(at <= F.col("_to") + F.make_dt_interval(F.lit(lasts_days)), F.lit(True))
+    rises = series.progression(psa_concentrations(facts)).filter("is_confirmed").select("patient_id", "effective_datetime")
+    rising = rises.join(treated, "patient_id", "left").filter(during).select("patient_id").distinct()
+    rising = rising.withColumn("progressed", F.lit(True))
     df = (
         cohort.select("patient_id").distinct()
-        .join(treated.withColumn("on_adt", F.lit(True)), "patient_id", "left")
+        .join(treated.select("patient_id", F.lit(True).alias("on_adt")), "patient_id", "left")
         .join(latest, "patient_id", "left").join(rising, "patient_id", "left")
     )
     on_adt = F.coalesce("on_adt", F.lit(False))

@@ -223,16 +223,20 @@ def drug_match(names, column: str = "medication_display") -> Column:
 
 
 def medication_report(facts: Frames, target: DataFrame, names=codes.ADT_DRUGS) -> DataFrame:
+    """One row per request of a target patient; a request has one drug, so its list is that name.
+
+    The mart has one row per request: repeats can only come from the target,
+    which is counted before the join, and no nested column is a grouping key.
+    """
     rows = facts["fact_medication_requests"].filter(drug_match(names))
-    rows = rows.join(target.select("patient_id", "last_encounter_date"), "patient_id")
+    seen = target.groupBy("patient_id", "last_encounter_date").agg(F.count("*").alias("_n"))
     keys = [
         "patient_id", "last_encounter_date", "medication_request_id", "medication_id", "medication_display",
         "authored_on", "medication_name", "medication_status", "medication_code", "medication_primary_code",
         "medication_primary_system", "medication_primary_text", "dosage_instructions", "categories", "notes",
     ]
-    return rows.groupBy(*keys).agg(
-        F.array_join(F.sort_array(F.collect_set("medication_display")), ", ").alias("medications_list"),
-        F.count("medication_display").alias("total_medication_requests"),
+    return rows.join(seen, "patient_id").select(
+        *keys, F.col("medication_display").alias("medications_list"), F.col("_n").alias("total_medication_requests")
     )
 
 

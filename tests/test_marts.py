@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carelake.operators import nest
 from carelake.operators.flatten import flatten_all
-from carelake.plans import facts, oncology, refresh, reports
+from carelake.plans import facts, oncology, refresh, reports, resources  # noqa: F401  (resources registers the rules)
 from carelake.sources import io, schemas
 
 
@@ -111,15 +111,22 @@ def test_hormone_status_tree(spark):
     for p, testosterone in (("inadequate", "60"), ("stable", "20"), ("resistant", "20")):
         rows.append((p, f"{p}-t", day(1), Decimal(testosterone), "ng/dL", "2986-8", "Testosterone"))
     for i, v in enumerate(("10", "1", "1.5", "3.5", "3.6")):
-        for p in ("stable", "resistant"):
-            value = v if p == "resistant" else "1"
+        for p in ("stable", "resistant", "earlier", "undated"):
+            value = "1" if p == "stable" else v
             rows.append((p, f"{p}-{i}", day(i if i < 4 else 30), Decimal(value), "ng/mL", "2857-1", "PSA"))
-    meds = spark.createDataFrame([(p, "Lupron Depot") for p in ("inadequate", "stable", "resistant")], "patient_id string, medication_display string")
-    people = spark.createDataFrame([("naive",), ("inadequate",), ("stable",), ("resistant",)], "patient_id string")
-    got = {r["patient_id"]: (r["hormone_code"], r["reason"]) for r in dicts(oncology.hormone_status(
-        {"fact_medication_requests": meds, "fact_observations": spark.createDataFrame(rows, obs)}, people))}
+        rows.append(("stable", f"percent-{i}", day(i if i < 4 else 30), Decimal(v), "%", "2857-1", "PSA free ratio"))
+    rows += [(p, f"{p}-t", day(1), Decimal("20"), "ng/dL", "2986-8", "Testosterone") for p in ("earlier", "undated")]
+    treated = {"inadequate": day(0), "stable": day(0), "resistant": day(0), "earlier": day(35), "undated": None}
+    meds = spark.createDataFrame([(p, "Lupron Depot", at) for p, at in treated.items()],
+                                 "patient_id string, medication_display string, authored_on timestamp")
+    people = spark.createDataFrame([("naive",), *[(p,) for p in treated]], "patient_id string")
+    marts = {"fact_medication_requests": meds, "fact_observations": spark.createDataFrame(rows, obs)}
+    got = {r["patient_id"]: (r["hormone_code"], r["reason"]) for r in dicts(oncology.hormone_status(marts, people))}
     assert got == {"naive": ("Z19.1", "treatment-naive"), "inadequate": ("Z19.1", "inadequate-suppression"),
-                   "stable": ("Z19.1", "castrate-sensitive"), "resistant": ("Z19.2", "castration-resistant")}
+                   "stable": ("Z19.1", "castrate-sensitive"), "resistant": ("Z19.2", "castration-resistant"),
+                   "earlier": ("Z19.1", "castrate-sensitive"), "undated": ("Z19.2", "castration-resistant")}
+    short = {r["patient_id"]: r["reason"] for r in dicts(oncology.hormone_status(marts, people, lasts_days=1))}
+    assert short["resistant"] == "castrate-sensitive" and short["undated"] == "castration-resistant"
 
 
 def test_refresh_levels_cover_all_marts(spark):

@@ -16,8 +16,8 @@ def events(spark):
     rng = random.Random(7)
     rows = []
     for i in range(1500):
-        key = "hot" if rng.random() < 0.6 else rng.choice("abc")
-        ts = None if rng.random() < 0.03 else datetime(2024, 1, 1) + timedelta(hours=rng.randrange(24 * 90), minutes=30 * rng.randrange(2))
+        key = "hot" if rng.random() < 0.6 else rng.choice(["a", "b", "c", None])
+        ts = None if rng.random() < 0.1 else datetime(2024, 1, 1) + timedelta(hours=rng.randrange(24 * 90), minutes=30 * rng.randrange(2))
         rows.append((i, key, ts, round(rng.uniform(0.1, 20), 1)))
     return spark.createDataFrame(rows, "id int, key string, ts timestamp, value double").cache()
 
