@@ -183,6 +183,15 @@ def test_passages_of_odd_rows(spark, make_docs):
     assert passages.repeated(make_docs()).count() == 0
 
 
+def test_passages_of_a_common_line_meet_their_own_partners(spark, make_docs):
+    """One line in every document; a passage around it shared by two documents in the middle of the group."""
+    line, passages_ = text_of(300, 40), [text_of(310 + k, 5) for k in range(20)]
+    rows = [(k, f"{text_of(400 + k)} {passages_[k // 2]} {line} {passages_[19 - k // 2]} {text_of(500 + k)}") for k in range(20)]
+    rows += [(100 + k, f"{text_of(600 + k)} {line} {text_of(700 + k)}") for k in range(60)]
+    found = {r["doc_id"] for r in passages.repeated(make_docs(*rows), least_words=50).select("doc_id").collect()}
+    assert set(range(20)) <= found
+
+
 def test_compact_windows_are_the_wide_nodes_of_the_tree():
     rng = np.random.default_rng(1)
     for n in (0, 5, 60, 200):
