@@ -192,6 +192,36 @@ def test_passages_of_a_common_line_meet_their_own_partners(spark, make_docs):
     assert set(range(20)) <= found
 
 
+def edited(words, kind, rng):
+    at = int(rng.integers(5, len(words) - 5))
+    return words[:at] + {"change": ["new"] , "insert": ["new"], "delete": []}[kind] + words[at + (kind != "insert"):]
+
+
+def test_planted_edits_are_found(spark, make_docs):
+    """One word changed, inserted or deleted in passages of 50 and 60 words, in a group of unlike documents."""
+    rng, rows, want = np.random.default_rng(9), [], {}
+    for k in range(300):
+        kind = ("change", "insert", "delete")[k % 3]
+        words = text_of(2000 + k, 50 if k % 2 else 60).split()
+        for side, held in enumerate((words, edited(words, kind, rng))):
+            rows.append((2 * k + side, f"{text_of(3000 + 2 * k + side, 80)} {' '.join(held)} {text_of(5000 + 2 * k + side, 80)}"))
+            want.setdefault(kind, set()).add((2 * k + side, len(held)))
+    spans = {}
+    for r in passages.repeated(make_docs(*rows)).collect():
+        spans.setdefault(r["doc_id"], []).append((r["start_word"], r["end_word"]))
+    for kind, cases in want.items():
+        hit = [any(s <= 80 + 10 and e >= 80 + n - 10 for s, e in spans.get(d, [])) for d, n in cases]
+        print(kind, sum(hit), len(hit))
+        assert sum(hit) >= 0.97 * len(hit), kind
+
+
+def test_aligned_passes_over_an_insertion():
+    a = np.arange(100, 146, dtype=np.uint64)
+    b = np.concatenate([a[:21], np.arange(900, 905, dtype=np.uint64), a[25:]])
+    (start, end, start_b, end_b, like), = passages.aligned(a, b, 0, 0, 20, 46, 0.8)
+    assert (start, end, start_b, end_b) == (0, 45, 0, 46) and 0.8 <= like < 1
+
+
 def test_compact_windows_are_the_wide_nodes_of_the_tree():
     rng = np.random.default_rng(1)
     for n in (0, 5, 60, 200):
