@@ -61,6 +61,31 @@ def test_simhash_of_odd_rows(spark, make_docs):
     assert simhash.groups(make_docs()).count() == 0
 
 
+def test_near_copies_stage_equals_brute_force(spark, make_docs):
+    """Pairs on both sides of similarity 0.8, exact copies, odd rows."""
+    import corpus_pipeline
+
+    rng, texts = random.Random(8), [None, "", "A b", "a B", "a c"]
+    for k in range(40):
+        words = text_of(8000 + k, 150).split()
+        texts.append(" ".join(words))
+        for edits in (1, 2, 3, 5):
+            changed = list(words)
+            for at in rng.sample(range(10, 140), edits):
+                changed[at] = "new"
+            texts.append(" ".join(changed))
+    texts.append(texts[5].upper())
+    sets = []
+    for t in texts:
+        words = (t or "").lower().split()
+        sets.append({tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    linked = [[a == b or len(a & b) >= 0.8 * len(a | b) for b in sets] for a in sets]
+    want = sorted(set(components(list(range(len(texts))), linked)))
+    docs = make_docs(*enumerate(texts), clashing=True)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()) == want
+    assert corpus_pipeline.drop_near_copies(spark, make_docs((None, "x y"), (None, "x y")), SF).count() == 1
+
+
 def test_hot_block_keeps_all_links(spark):
     """A dense group over several chunks is one component, found without its pairs."""
     rng = np.random.default_rng(0)
