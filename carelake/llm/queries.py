@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.catalog.registry import register
-from carelake.llm import decontaminate, embed_dedup, language, licenses, lm, mixing, passages, simhash, token_frames, toxicity
+from carelake.llm import (
+    collocations, decontaminate, edit_prints, embed_dedup, language, licenses, lm, mixing, passages, simhash, token_frames, toxicity, vector_codes,
+)
 from carelake.llm.common import crc_mod
 
 
@@ -68,6 +70,18 @@ def op10_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return embed_dedup.links(table(spark, sf, "embeddings"))
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
+def op12_edit_prints(spark: SparkSession, sf: str) -> DataFrame:
+    return edit_prints.digests(table(spark, sf, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.digests(table(spark, sf, "embeddings"))
+
+
 def _license_sql() -> str:
     """Brute force: every start of every template in every text."""
 
@@ -140,6 +154,63 @@ chosen AS (
 SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken FROM chosen"""
 
 
+COLLOCATIONS_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\\x0A-\\x0D]+')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (SELECT lang, unnest([w[i:i + m - 1] FOR m IN range(1, 5) IF i + m - 1 <= len(w)]) AS g FROM starts),
+counts AS MATERIALIZED (SELECT lang, g, count(*) AS f FROM grams GROUP BY lang, g HAVING count(*) >= 30),
+candidates AS MATERIALIZED (SELECT lang, g, f FROM counts WHERE len(g) > 1),
+cuts AS (SELECT lang, g, f, unnest(range(1, len(g))) AS k FROM candidates),
+scores AS (
+  SELECT c.lang, c.g, c.f AS a, c.k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.f) // (x.f + y.f))::BIGINT AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.g = c.g[:c.k] JOIN counts y ON y.lang = c.lang AND y.g = c.g[c.k + 1:]),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (SELECT lang, f, g[i:i + m - 1] AS g FROM candidates, (SELECT unnest([2, 3]) AS m), (SELECT unnest([1, 2, 3]) AS i)
+  WHERE m < len(g) AND i + m - 1 <= len(g)),
+around AS (SELECT lang, g, max(f) AS longer FROM inside GROUP BY lang, g),
+ranked AS (
+  SELECT s.lang, array_to_string(s.g, ' ') AS phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, array_to_string(s.g, ' ')) AS rank
+  FROM lowest s LEFT JOIN around x ON x.lang = s.lang AND x.g = s.g
+  WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT)
+SELECT r.lang, rank, phrase, a, l, r, n, score FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= 2000"""
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Full search in every round."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+near{k} AS MATERIALIZED (
+  SELECT r, v.part, min({{'d': list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': c.entry}}) AS best
+  FROM vals v JOIN book{k} c ON c.part = v.part GROUP BY r, v.part)""")
+        if k < rounds:
+            steps.append(f"""
+places{k} AS (SELECT n.part, n.best.e AS entry, unnest(x) AS y, generate_subscripts(x, 1) AS pos
+  FROM near{k} n JOIN vals v ON v.r = n.r AND v.part = n.part),
+means{k} AS (SELECT part, entry, pos, ((sum(y) - ((sum(y) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS y
+  FROM places{k} GROUP BY part, entry, pos),
+lists{k} AS (SELECT part, entry, list(y ORDER BY pos) AS x FROM means{k} GROUP BY part, entry),
+book{k + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(m.x, c.x) AS x
+  FROM book{k} c LEFT JOIN lists{k} m ON m.part = c.part AND m.entry = c.entry)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+vals AS MATERIALIZED (SELECT r, part, q[part * (len(q) // {parts}) + 1:(part + 1) * (len(q) // {parts})] AS x
+  FROM kept, (SELECT unnest(range({parts})) AS part)),
+book0 AS (SELECT part, r - 1 AS entry, x FROM vals WHERE r <= {entries}),{",".join(steps)},
+coded AS (SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY r),
+named AS (SELECT vec_id, label, code, error FROM kept JOIN coded ON coded.r = kept.r),
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM named, books"""
+
+
 register("op1_simhash", op1_simhash)
 register("op2_lm_score", op2_lm_score)
 register("op3_language_id", op3_language_id)
@@ -150,3 +221,6 @@ register("op7_decontaminate", op7_decontaminate, DECONTAMINATE_SQL)
 register("op8_toxicity", op8_toxicity)
 register("op9_mix_sources", op9_mix_sources, MIX_SQL)
 register("op10_embedding_dedup", op10_embedding_dedup)
+register("op11_collocations", op11_collocations, COLLOCATIONS_SQL)
+register("op12_edit_prints", op12_edit_prints)
+register("op13_vector_codes", op13_vector_codes, _codes_sql())
