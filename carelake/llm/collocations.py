@@ -3,14 +3,15 @@
 Texts are lower-cased (A-Z), split into pieces at ``.,;:!?`` and line ends, and
 those into words at spaces and tabs.  Counts are per language (null: ``und``).
 
-Every word has a 64-bit hash, every text the prefix sums of hash * B^i modulo 2^64
-(the polynomial of Rabin and Karp, B odd and so with an inverse); the difference
-of two prefixes, divided by B^i, is the fingerprint of the words between them.
-All fingerprints of a buffer of texts are one numpy expression.  A task adds up equal ones before
-the shuffle and keeps a pointer to one occurrence (hash of text and language, word
-number).  A second polynomial of another base tells apart phrases whose first
-fingerprints collide, and the text at the pointer is read and hashed anew before a
-phrase counts, so a wrong pointer is noticed.
+A buffer of texts has the prefix sums of byte value * B^i modulo 2^64 (the
+polynomial of Rabin and Karp, B odd and so with an inverse); the difference of two
+prefixes, divided by B^i, is the fingerprint of the bytes between them.  Words
+are fingerprinted so, and their fingerprints once more by the same polynomial,
+which gives those of all n-grams; no step runs per word in Python.  A task adds up
+equal ones before the shuffle and keeps a pointer to an occurrence (the hash of
+text and language).  A second polynomial of other values and another base tells
+apart phrases whose first fingerprints collide, and the text at the pointer is read and
+hashed anew before a phrase counts, so a wrong pointer is noticed.
 
 Lengths are counted one after the other.  A phrase is as rare as its rarest part,
 so an n-gram is hashed on only if both its (n - 1)-grams are frequent; frequent
@@ -24,8 +25,8 @@ count; ids are not used.  An empty table gives no rows.
 
 from __future__ import annotations
 
-from array import array
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,45 +37,40 @@ from pyspark.sql import functions as F
 from carelake.llm.common import Scratch
 from carelake.llm.passages import _bitmap, _size
 
-BREAK = b"."
-FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + BREAK * 9 + b" ")
+BREAK, BLANK = b".", b" "
+FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + BREAK * 9 + BLANK)
+BYTES = [np.random.default_rng(k).integers(0, 1 << 64, 256, np.uint64) for k in (1, 2)]
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd
-BUFFER, MERGED, WORDS = 1 << 20, 1 << 21, 1 << 19
-COUNTED = "key long, mark long, words int, f long, source long, at int, lang string"
+PIECE, BUFFER, MERGED = 1 << 19, 1 << 20, 1 << 20
+COUNTED = "key long, mark long, words int, f long, source long, lang string"
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Words and breaks between pieces (``BREAK``, which no word contains)."""
-    return text.translate(FOLD).replace(BREAK, b" . ").split()
+@lru_cache(maxsize=8)
+def _powers(k: int, log_n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2^log_n powers of a base and of its inverse modulo 2^64."""
+    out = []
+    for base in (BASES[k], pow(BASES[k], -1, 1 << 64)):
+        own = np.full(1 << log_n, base, np.uint64)
+        own[0] = 1
+        out.append(np.cumprod(own, dtype=np.uint64))
+    return out[0], out[1]
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+class Prefixes:
+    """Prefix sums of values * B^i: fingerprints of any of their runs."""
 
+    def __init__(self, values: np.ndarray, k: int):
+        powers, self.inverse = _powers(k, max(10, (len(values) + 1).bit_length()))
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * powers[:len(values)], dtype=np.uint64, out=self.sums[1:])
 
-def finish(gram: np.ndarray, seed: np.ndarray, n: int, bits: int = 64) -> np.ndarray:
-    """Fingerprints of n-grams in a language: mixed, and cut to ``bits`` (fewer than 64 only to try collisions)."""
-    with np.errstate(over="ignore"):
-        x = (gram ^ seed) + np.uint64(n) * np.uint64(0xC2B2AE3D27D4EB4F)
-        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
-        x = x ^ (x >> np.uint64(29))
-    return x << np.uint64(64 - bits) if bits < 64 else x
+    def runs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
 
 
-class Vocabulary(dict):
-    """Numbers of words, and their hashes under both polynomials; number 0 is the break."""
-
-    def __init__(self):
-        super().__init__({BREAK: 0})
-        self.hashes = [[0], [0]]
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        for k, own in enumerate(self.hashes):
-            own.append(xxhash.xxh64_intdigest(word, k))
-        return number
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
+    return x ^ (x >> np.uint64(29))
 
 
 def language_seeds(lang: str) -> tuple[int, int]:
@@ -82,43 +78,60 @@ def language_seeds(lang: str) -> tuple[int, int]:
 
 
 class Grams:
-    """All n-grams of a buffer of texts, as fingerprints at word places."""
+    """The words of texts, and all their n-grams as fingerprints at word places.
+
+    ``bits`` under 64 cut the first fingerprint (only to try collisions).
+    """
 
-    def __init__(self, numbers: np.ndarray, vocabulary: Vocabulary, langs: list[str], lengths: list[int], bits: int):
-        self.bits, self.numbers, n = bits, numbers, len(numbers)
-        self.piece = np.cumsum(numbers == 0)
+    def __init__(self, texts: list[bytes], langs: list[str], bits: int = 64):
+        self.bits, self.bytes = bits, b"".join(t.translate(FOLD) + BREAK for t in texts)
+        raw = np.frombuffer(self.bytes, np.uint8)
+        broken = raw == BREAK[0]
+        inside = np.concatenate([[False], ~broken & (raw != BLANK[0]), [False]])
+        self.starts, self.ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+        self.piece = np.cumsum(broken, dtype=np.int32)[self.starts]
+        limits = np.cumsum([len(t) + 1 for t in texts])
+        self.doc = np.searchsorted(limits, self.starts, side="right")
         seeds = np.array([language_seeds(x) for x in langs], np.uint64).reshape(-1, 2)
-        self.seeds = [np.repeat(seeds[:, k], lengths) for k in (0, 1)]
-        self.sums, self.inverse = [], []
-        for k, base in enumerate(BASES):
-            hashes = np.array(vocabulary.hashes[k], np.uint64)[numbers]
-            self.sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(base, n)[:n], dtype=np.uint64)]))
-            self.inverse.append(_powers(pow(base, -1, 1 << 64), n))
+        self.seeds = [seeds[:, k] for k in (0, 1)]
+        self.words = [Prefixes(self._words(raw, k), k) for k in (0, 1)]
+
+    def _words(self, raw: np.ndarray, k: int) -> np.ndarray:
+        """Fingerprints of the words, in bounded pieces of the text."""
+        out, at = np.empty(len(self.starts), np.uint64), 0
+        while at < len(self.starts):
+            low = self.starts[at]
+            upto = max(at + 1, int(np.searchsorted(self.ends, low + PIECE, side="right")))
+            own = Prefixes(BYTES[k][raw[low:self.ends[upto - 1]]], k)
+            out[at:upto] = mixed(own.runs(self.starts[at:upto] - low, self.ends[at:upto] - low))
+            at = upto
+        return out
 
     def places(self, n: int) -> np.ndarray:
-        """Whether an n-gram of one piece starts at each place."""
-        inside = self.numbers != 0
-        out = np.zeros(len(self.numbers), bool)
-        if len(out) >= n:
-            last = len(out) - n + 1
-            out[:last] = inside[:last] & (self.piece[:last] == self.piece[n - 1:])
+        """Whether an n-gram of one piece starts at each word."""
+        out = np.zeros(len(self.starts), bool)
+        last = max(0, len(out) - n + 1)
+        out[:last] = self.piece[:last] == self.piece[n - 1:]
         return out
 
     def prints(self, n: int, at: np.ndarray, k: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            gram = (self.sums[k][at + n] - self.sums[k][at]) * self.inverse[k][at]
-        return finish(gram, self.seeds[k][at], n, self.bits if k == 0 else 64)
+        gram = self.words[k].runs(at, at + n) ^ self.seeds[k][self.doc[at]]
+        x = mixed(gram + np.uint64(n * 0xC2B2AE3D27D4EB4F % (1 << 64)))
+        return x << np.uint64(64 - self.bits) if k == 0 and self.bits < 64 else x
+
+    def text(self, at: int, n: int) -> str:
+        return b" ".join(self.bytes[s:e] for s, e in zip(self.starts[at:at + n], self.ends[at:at + n])).decode("utf-8", "replace")
 
 
 def _merged(rows: list[np.ndarray]) -> list[np.ndarray]:
-    """Rows (key, mark, f, source, at) with the counts of equal (key, mark) next to each other added up."""
-    key, mark, f, source, at = rows
+    """Rows (key, mark, f, source) with the counts of equal (key, mark) next to each other added up."""
+    key, mark, f, source = rows
     order = np.argsort(key, kind="stable")
     key, mark = key[order], mark[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (mark[1:] != mark[:-1])
     starts = np.flatnonzero(new)
-    return [key[starts], mark[starts], np.add.reduceat(f[order], starts) if len(starts) else f, source[order][starts], at[order][starts]]
+    return [key[starts], mark[starts], np.add.reduceat(f[order], starts) if len(starts) else f, source[order][starts]]
 
 
 def _maybe(keys: np.ndarray, filters: np.ndarray, log_bits: int) -> np.ndarray:
@@ -127,108 +140,88 @@ def _maybe(keys: np.ndarray, filters: np.ndarray, log_bits: int) -> np.ndarray:
 
 
 def _count(n: int, bits: int, filters: np.ndarray | None, log_bits: int):
-    """Counts of the n-grams of a task's texts, added up in bounded memory; with n = 1 also words per language (key 0, words 0)."""
+    """Counts of the n-grams of a task's texts, added up in bounded memory; with n = 1 also words per language (words = 0)."""
 
-    def run(batches):
-        vocabulary, held, size, totals = Vocabulary(), [], 0, {}
-        numbers, lengths, langs, sources = array("q"), [], [], []
-
-        def flush():
-            own = np.frombuffer(numbers, np.int64)
-            grams = Grams(own, vocabulary, langs, lengths, bits)
-            good = grams.places(n)
-            if filters is not None:
-                parts = np.flatnonzero(grams.places(n - 1))
-                known = np.zeros(len(own) + 1, bool)
-                known[parts] = _maybe(grams.prints(n - 1, parts, 0), filters, log_bits)
-                good &= known[:-1] & known[1:]
-            at = np.flatnonzero(good)
-            starts = np.cumsum([0, *lengths])
-            doc = np.searchsorted(starts, at, side="right") - 1
-            return _merged([grams.prints(n, at, 0), grams.prints(n, at, 1), np.ones(len(at), np.int64),
-                            np.array(sources, np.int64)[doc], (at - starts[doc]).astype(np.int32)])
-
-        def batch_of(rows):
-            key, mark, f, source, at = rows
-            return pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(mark.view(np.int64)), pa.array(np.full(len(key), n, np.int32)), pa.array(f),
-                 pa.array(source), pa.array(at), pa.nulls(len(key), pa.string())],
-                names=["key", "mark", "words", "f", "source", "at", "lang"])
-
-        def all_held():
-            return _merged([np.concatenate(x) for x in zip(*held)])
+    def counted(texts, langs, sources, totals):
+        grams = Grams(texts, langs, bits)
+        good = grams.places(n)
+        if n == 1:
+            for doc, words in enumerate(np.bincount(grams.doc, minlength=len(texts)).tolist()):
+                totals[langs[doc]] = totals.get(langs[doc], 0) + words
+        if filters is not None:
+            parts = np.flatnonzero(grams.places(n - 1))
+            known = np.zeros(len(good) + 1, bool)
+            known[parts] = _maybe(grams.prints(n - 1, parts, 0), filters, log_bits)
+            good &= known[:-1] & known[1:]
+        at = np.flatnonzero(good)
+        return _merged([grams.prints(n, at, 0), grams.prints(n, at, 1), np.ones(len(at), np.int64), np.array(sources, np.int64)[grams.doc[at]]])
+
+    def batches_of(key, mark, f, source, words, langs=None, step=1 << 16):
+        for lo in range(0, len(key), step):
+            part = slice(lo, lo + step)
+            own = pa.nulls(len(key[part]), pa.string()) if langs is None else pa.array(langs[part])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[part].view(np.int64)), pa.array(mark[part].view(np.int64)), pa.array(np.full(len(key[part]), words, np.int32)),
+                 pa.array(f[part]), pa.array(source[part]), own], names=["key", "mark", "words", "f", "source", "lang"])
 
+    def run(batches):
+        held, size, totals, buffer, filled = [], 0, {}, ([], [], []), 0
         for batch in batches:
-            for text, lang, source in zip(batch["text"], batch["lang"].to_pylist(), batch["source"].to_pylist()):
-                found = words_of(text.as_py())
-                if not found:
+            for text, lang, source in zip(batch["text"], batch["lang"], batch["source"]):
+                for own, value in zip(buffer, (text, lang, source)):
+                    own.append(value.as_py())
+                filled += len(buffer[0][-1])
+                if filled < BUFFER:
                     continue
-                numbers.extend(map(vocabulary.__getitem__, found))
-                numbers.append(0)
-                lengths.append(len(found) + 1)
-                langs.append(lang)
-                sources.append(source)
-                if n == 1:
-                    totals[lang] = totals.get(lang, 0) + len(found) - found.count(BREAK)
-                if len(numbers) < BUFFER:
-                    continue
-                held.append(flush())
+                held.append(counted(*buffer, totals))
                 size += len(held[-1][0])
-                numbers, lengths, langs, sources = array("q"), [], [], []
-                if len(vocabulary) > WORDS:
-                    vocabulary = Vocabulary()
+                buffer, filled = ([], [], []), 0
                 if size > MERGED:
-                    held, size = [all_held()], 0
-                    if len(held[0][0]) > MERGED // 2:
-                        yield batch_of(held.pop())
-        if len(numbers):
-            held.append(flush())
+                    held = [_merged([np.concatenate(x) for x in zip(*held)])]
+                    size = len(held[0][0])
+                    if size > MERGED // 2:
+                        yield from batches_of(*held.pop(), n)
+                        size = 0
+        if buffer[0]:
+            held.append(counted(*buffer, totals))
         if held:
-            yield batch_of(all_held())
+            yield from batches_of(*_merged([np.concatenate(x) for x in zip(*held)]), n)
         if totals:
-            m = len(totals)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * m, pa.int64()), pa.array([0] * m, pa.int64()), pa.array([0] * m, pa.int32()), pa.array(list(totals.values()), pa.int64()),
-                 pa.array([0] * m, pa.int64()), pa.array([0] * m, pa.int32()), pa.array(list(totals), pa.string())],
-                names=["key", "mark", "words", "f", "source", "at", "lang"])
+            none = np.zeros(len(totals), np.int64)
+            yield from batches_of(none, none, np.array(list(totals.values()), np.int64), none, 0, list(totals))
 
     return run
 
 
 def _phrases(bits: int):
-    """Texts of phrases at their pointers, read and hashed anew, and the fingerprints of their parts."""
+    """Texts of phrases, found in the documents they point to and hashed anew, and the fingerprints of their parts."""
     pair = pa.struct([("key", pa.int64()), ("mark", pa.int64())])
     cut = pa.struct([("k", pa.int32()), ("first", pair), ("rest", pair)])
-
-    def parts(words: list[bytes], lang: str):
-        vocabulary = Vocabulary()
-        grams = Grams(np.array([vocabulary[w] for w in words], np.int64), vocabulary, [lang], [len(words)], bits)
-
-        def one(at, n):
-            key, mark = (int(grams.prints(n, np.array([at]), k).view(np.int64)[0]) for k in (0, 1))
-            return {"key": key, "mark": mark}
-
-        return one
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.list_(cut), pa.list_(pair)]
 
     def run(batches):
         for batch in batches:
             rows = {name: [] for name in ("key", "mark", "words", "f", "lang", "phrase", "cuts", "inner")}
             for text, lang, places in zip(batch["text"], batch["lang"].to_pylist(), batch["places"].to_pylist()):
-                found = words_of(text.as_py())
-                for x in places:
-                    words, n = found[x["at"]:x["at"] + x["words"]], x["words"]
-                    if len(words) < n or BREAK in words:
-                        continue
-                    one = parts(words, lang)
-                    if one(0, n) != {"key": x["key"], "mark": x["mark"]}:
-                        continue
-                    inner = {tuple(words[a:a + m]): one(a, m) for m in range(2, n) for a in range(n - m + 1)}
-                    for name, value in zip(rows, (
-                        x["key"], x["mark"], n, x["f"], lang, b" ".join(words).decode("utf-8", "replace"),
-                        [{"k": k, "first": one(0, k), "rest": one(k, n - k)} for k in range(1, n)], list(inner.values()),
-                    )):
-                        rows[name].append(value)
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.list_(cut), pa.list_(pair)]
+                grams = Grams([text.as_py()], [lang], bits)
+
+                def pairs(n, at, grams=grams):
+                    own = [grams.prints(n, at, k).view(np.int64).tolist() for k in (0, 1)]
+                    return [{"key": key, "mark": mark} for key, mark in zip(*own)]
+
+                wanted = {(x["key"], x["mark"]): (x["words"], x["f"]) for x in places}
+                for n in sorted({words for words, _ in wanted.values()}):
+                    at, keys = np.flatnonzero(grams.places(n)), {key for (key, _), (words, _) in wanted.items() if words == n}
+                    at = at[np.isin(grams.prints(n, at, 0).view(np.int64), list(keys))]
+                    here = {(x["key"], x["mark"]): where for x, where in zip(pairs(n, at), at.tolist())}
+                    found = [(x, here[x]) for x in here if wanted.get(x, (0, 0))[0] == n]
+                    at = np.array([where for _, where in found], np.int64)
+                    part = {(a, m): pairs(m, at + a) for m in range(1, n) for a in range(n - m + 1)}
+                    for i, (x, where) in enumerate(found):
+                        inner = {tuple(part[a, m][i].values()): part[a, m][i] for a, m in part if m > 1}
+                        cuts = [{"k": k, "first": part[0, k][i], "rest": part[k, n - k][i]} for k in range(1, n)]
+                        for name, value in zip(rows, (*x, n, wanted[x][1], lang, grams.text(where, n), cuts, list(inner.values()))):
+                            rows[name].append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], names=list(rows))
 
     return run
@@ -256,19 +249,19 @@ def count(docs: DataFrame, longest: int = 4, least: int = 30, text_col: str = "t
     frequent, words, filters, log_bits = [], None, None, 0
     for n in range(1, longest + 1):
         local = rows.mapInArrow(_count(n, bits, filters, log_bits), COUNTED)
-        total = local.groupBy("key", "mark", "words", "lang").agg(F.sum("f").alias("f"), F.min(F.struct("source", "at")).alias("place"))
+        total = local.groupBy("key", "mark", "words", "lang").agg(F.sum("f").alias("f"), F.min("source").alias("source"))
         kept = scratch.save(total.where((F.col("f") >= least) | (F.col("words") == 0)), f"frequent-{n}")
         if n == 1:
             words = kept.where("words = 0").select("lang", F.col("f").alias("n"))
             kept = kept.where("words > 0")
-        frequent.append(kept.select("key", "mark", "words", "f", "place.source", "place.at"))
+        frequent.append(kept.select("key", "mark", "words", "f", "source"))
         if n < longest:
             log_bits = _size(kept.count())
             filters = _bitmap(kept, "key", log_bits)
     every = frequent[0]
     for more in frequent[1:]:
         every = every.unionByName(more)
-    pointed = every.where("words > 1").groupBy("source").agg(F.collect_list(F.struct("key", "mark", "words", "f", "at")).alias("places"))
+    pointed = every.where("words > 1").groupBy("source").agg(F.collect_list(F.struct("key", "mark", "words", "f")).alias("places"))
     pointed = scratch.save(pointed, "pointed")
     # one row of each text that is pointed at
     texts = rows.join(pointed.select("source"), "source", "left_semi").dropDuplicates(["source", "text"])
