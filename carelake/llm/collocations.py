@@ -41,7 +41,7 @@ BREAK, BLANK = b".", b" "
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + BREAK * 9 + BLANK)
 BYTES = [np.random.default_rng(k).integers(0, 1 << 64, 256, np.uint64) for k in (1, 2)]
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd
-PIECE, BUFFER, MERGED = 1 << 19, 1 << 20, 1 << 20
+PIECE, BUFFER, MERGED = 1 << 18, 1 << 19, 1 << 19
 COUNTED = "key long, mark long, words int, f long, source long, lang string"
 
 
@@ -249,7 +249,8 @@ def count(docs: DataFrame, longest: int = 4, least: int = 30, text_col: str = "t
     frequent, words, filters, log_bits = [], None, None, 0
     for n in range(1, longest + 1):
         local = rows.mapInArrow(_count(n, bits, filters, log_bits), COUNTED)
-        total = local.groupBy("key", "mark", "words", "lang").agg(F.sum("f").alias("f"), F.min("source").alias("source"))
+        # tasks have added up already, so rows go straight to the shuffle instead of through another map-side table
+        total = local.repartition("key", "mark").groupBy("key", "mark", "words", "lang").agg(F.sum("f").alias("f"), F.min("source").alias("source"))
         kept = scratch.save(total.where((F.col("f") >= least) | (F.col("words") == 0)), f"frequent-{n}")
         if n == 1:
             words = kept.where("words = 0").select("lang", F.col("f").alias("n"))
