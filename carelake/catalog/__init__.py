@@ -3,4 +3,4 @@
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from carelake.catalog import aggregates, expressions, loads, marts, normalizers, quality, reports  # noqa: F401
+    from carelake.catalog import aggregates, expressions, increments, loads, marts, normalizers, quality, reports  # noqa: F401

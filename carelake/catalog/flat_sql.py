@@ -32,6 +32,11 @@ def _duck_type(dtype: str) -> str:
 
 
 def flat(table: str, source: str, *branches: dict) -> None:
+    RAW[table] = rows_of(table, source, *branches)
+
+
+def rows_of(table: str, source: str, *branches: dict) -> str:
+    """SELECT with the columns of a table, one branch per element."""
     selects = []
     for cols in branches:
         cols = dict(cols)
@@ -44,7 +49,7 @@ def flat(table: str, source: str, *branches: dict) -> None:
             f"CAST({cols.get(n, 'NULL')} AS {_duck_type(t)}) AS {n}" for n, t in columns_of(table) if n not in ("created_at", "updated_at")
         )
         selects.append(f"SELECT {body} FROM {source}" + (f" WHERE {where}" if where else ""))
-    RAW[table] = " UNION ALL ".join(selects)
+    return " UNION ALL ".join(selects)
 
 
 def rendered(name: str, dtype: str) -> str:
@@ -60,9 +65,9 @@ def rendered(name: str, dtype: str) -> str:
     return name
 
 
-def table_oracle(table: str) -> str:
+def table_oracle(table: str, raw: str | None = None) -> str:
     cols = ", ".join(rendered(n, t) for n, t in columns_of(table) if n not in ("created_at", "updated_at"))
-    return f"SELECT {cols} FROM ({RAW[table]})"
+    return f"SELECT {cols} FROM ({raw or RAW[table]})"
 
 
 def with_tables(sql: str, extra: dict[str, str] | None = None) -> str:

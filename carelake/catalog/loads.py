@@ -290,21 +290,6 @@ def _(spark, sf):
     return quality.row_counts({n: result.tables[n] for n in names})
 
 
-_LIVE = "(SELECT * FROM {0} WHERE oid NOT IN (SELECT oid FROM {0} WHERE event_type = 'click' AND value > 100))".format(flat_sql.EVENTS)
-
-
-@query("job_load_statistics", f"""SELECT count(*) AS source_rows, 0::BIGINT AS behind_mark, count(DISTINCT oid) AS distinct_rows,
- count(*) - count(DISTINCT oid) AS duplicates_removed, count(*) FILTER (event_type = 'error') AS retracted, 0::BIGINT AS invalid,
- count(*) FILTER (event_type <> 'error') AS kept, count(*) FILTER (event_type <> 'error') AS new, 0::BIGINT AS updated,
- 0::BIGINT AS unversioned, 0::BIGINT AS skipped FROM {_LIVE}""")
-def _(spark, sf):
-    """Statistics of a load of the whole source."""
-    source = stage.resource(spark, sf, "Observation")
-    result = jobs.load_resource("Observation", source, jobs.empty_tables(spark, "Observation"), stage.AS_OF,
-                                stage=jobs.written_stage(spark, f"statistics-{uuid.uuid4().hex}"))
-    return result.statistics.drop("child_rows", "expansion_ratio")
-
-
 @query("job_load_unreadable_time", """SELECT 'first' AS load, CAST(o_orderkey AS VARCHAR) AS encounter_id FROM orders
  UNION ALL SELECT 'later', CAST(o_orderkey AS VARCHAR) FROM orders""")
 def _(spark, sf):

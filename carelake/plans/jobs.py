@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions import columns as C
 from carelake.operators import load, quality
 from carelake.operators.flatten import RULES, flatten, tables_of
 from carelake.plans import resources  # noqa: F401  (registers the rules)
+from carelake.operators.generations import Store
 from carelake.session import shared_folder
-from carelake.sources import io
+from carelake.sources import io, schemas
 
 
 @dataclass
@@ -100,3 +105,110 @@ def empty_tables(spark: SparkSession, resource: str) -> dict[str, DataFrame]:
 def read_tables(spark: SparkSession, resource: str, root: str) -> dict[str, DataFrame]:
     main, children = tables_of(resource)
     return {t: io.read_table(spark, t, f"{root}/{t}") for t in (main, *children)}
+
+
+# --- increments ------------------------------------------------------------------
+
+ACTIONS = ("new", "updated", "unversioned", "skipped")
+
+
+def store(spark: SparkSession, resource: str, root: str, buckets: int = 64) -> Store:
+    """Log-structured store of the tables of a resource."""
+    main, children = tables_of(resource)
+    return Store(spark, root, {t: schemas.table_schema(t) for t in (main, *children)}, RULES[main].key, buckets)
+
+
+def at_once(spark: SparkSession, run: Callable[[str], None], names: Iterable[str], most: int = 4) -> None:
+    """Submit independent Spark jobs at the same time, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(most) as pool:
+        list(pool.map(inheritable_thread_target(spark)(run), names))
+
+
+@contextmanager
+def _whole_plans(spark: SparkSession) -> Iterator[None]:
+    """Adaptive plans keep branches that turn out empty: what was observed below them would be lost."""
+    name, rule = "spark.sql.adaptive.optimizer.excludedRules", "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ",".join(filter(None, (before, rule))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def load_increment(
+    resource: str,
+    source: DataFrame,
+    target: Store,
+    as_of=None,
+    backdate_days: int | None = 0,
+    delete_flag: str = "isDelete",
+    sample: int | None = None,
+    batch: int | None = None,
+) -> dict | None:
+    """Load ``source`` into a store as its next generation; returns the statistics.
+
+    The steps are those of :func:`load_resource`, but only accepted rows, their
+    children and the replaced or retracted keys are written.  The newest versions
+    are written once below the store and read back by main and child tables.  Only versions
+    of incoming keys are looked up: the target is reduced to them before it is
+    shuffled.  A ``batch`` that was committed before changes nothing and gives None.
+
+    The statistics are observed on the frames while they are written, so no step
+    runs again to be counted; ``child_rows`` and ``expansion_ratio`` are those of
+    accepted rows.
+    """
+    spark, key = target.spark, target.key
+    main, children = tables_of(resource)
+    commits = target.commits()
+    if batch is not None and any(c["batch"] == batch for c in commits):
+        return None
+    gen = commits[-1]["gen"] + 1
+    existing = target.read(main)
+    count = F.count(F.lit(1))
+    wrong = F.lit(False)
+    if "status" in source.columns:
+        wrong = F.coalesce(F.col("status") == "entered-in-error", F.lit(False))
+
+    seen = {name: Observation(f"{name}-{gen}") for name in ("live", "past_mark", "newest", "main", *children)}
+    live = io.sample_rows(load.drop_deleted(source, "id", delete_flag), sample).observe(seen["live"], count.alias("n"))
+    mark = None if backdate_days is None else load.bookmark(existing, "meta_last_updated", backdate_days)
+    rows = load.after_bookmark(live, mark, keep_unreadable=True).observe(seen["past_mark"], count.alias("n"))
+    newest = load.latest_version(rows, "id", C.parse_timestamp(F.col("meta.lastUpdated")))
+    newest = newest.observe(seen["newest"], count.alias("n"), F.count_if(wrong).alias("retracted"))
+    path = f"{target.root}/input/gen={gen}"
+    with _whole_plans(spark):
+        io.full_refresh(newest, path)
+        newest = spark.read.schema(newest.schema).parquet(path)
+        good = newest.filter(~wrong)
+
+        flat = flatten(good, main, as_of)
+        known = existing.select(key, "meta_last_updated").join(flat.select(key), key, "left_semi")
+        classified = load.classify_versions(flat, known, key, "meta_last_updated").observe(
+            seen["main"], count.alias("valid"), *[F.count_if(F.col("version_action") == a).alias(a) for a in ACTIONS])
+        target.write_rows(gen, main, classified.filter("version_action <> 'skipped'"))
+        accepted = target.written(gen, main).select(key)
+        if gen > 1:  # nothing lies below the first generation
+            target.write_keys(gen, accepted.unionByName(newest.filter(wrong).select(F.col("id").alias(key))))
+
+        def write_child(table: str) -> None:
+            incoming = flatten(good, table, as_of).join(accepted, key, "left_semi").observe(seen[table], count.alias("n"))
+            target.write_rows(gen, table, incoming)
+
+        at_once(spark, write_child, children)
+
+    main_counts, newest_counts = seen["main"].get, seen["newest"].get
+    kept = main_counts["valid"] - main_counts["skipped"]
+    child_rows = sum(seen[t].get["n"] for t in children)
+    statistics = {
+        "source_rows": seen["live"].get["n"], "behind_mark": seen["live"].get["n"] - seen["past_mark"].get["n"],
+        "distinct_rows": newest_counts["n"], "duplicates_removed": seen["past_mark"].get["n"] - newest_counts["n"],
+        "retracted": newest_counts["retracted"], "invalid": newest_counts["n"] - newest_counts["retracted"] - main_counts["valid"],
+        "kept": kept, **{a: main_counts[a] for a in ACTIONS}, "child_rows": child_rows,
+        "expansion_ratio": (kept + child_rows) / kept if kept else None,
+    }
+    target.commit(gen, batch, statistics=json.dumps(statistics))
+    return statistics

@@ -1,9 +1,10 @@
 """Scheduled increments as a Structured Streaming run.
 
 Each run takes the resource files that arrived since the last one and ends
-(``availableNow``).  The stream checkpoint replaces the high-water mark, and a
-micro-batch writes its own generation of the tables on top of the previous one,
-so a repeated batch gives the same result.
+(``availableNow``).  The stream checkpoint replaces the high-water mark.  A
+micro-batch is appended to a store as one generation that carries the batch number:
+it writes the rows it brings and nothing else, and a batch that is repeated after
+its commit is recognised and left out.
 """
 
 from __future__ import annotations
@@ -11,37 +12,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from carelake.operators.generations import Store
 from carelake.plans import jobs
 from carelake.sources import schemas
 
 
-def generation_path(root: str, generation: int) -> str:
-    return f"{root}/generation={generation}"
+def load_batch(resource: str, batch: DataFrame, batch_id: int, target: Store, as_of=None) -> dict | None:
+    """Append one micro-batch; None if it was committed before.
+
+    The checkpoint already decides what is new; versions still guard against old copies.
+    """
+    return jobs.load_increment(resource, batch, target, as_of, backdate_days=None, batch=batch_id)
 
 
 def run_increments(
-    spark: SparkSession, resource: str, source: str, root: str, checkpoint: str,
+    spark: SparkSession, resource: str, source: str, target: Store, checkpoint: str,
     file_format: str = "json", as_of=None, files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Load all new files below ``source``; generation N holds the tables after batch N."""
+    """Load all new files below ``source`` into a store that was created before."""
     reader = spark.readStream.schema(schemas.resource_schema(resource)).format(file_format)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-
-    def load_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        if batch_id == 0:
-            existing = jobs.empty_tables(session, resource)
-        else:
-            existing = jobs.read_tables(session, resource, generation_path(root, batch_id - 1))
-        # The checkpoint already decides what is new; versions still guard against old copies.
-        result = jobs.load_resource(
-            resource, batch, existing, as_of, backdate_days=None,
-            stage=jobs.written_stage(session, f"{resource}-{batch_id}"),
-        )
-        jobs.write_load(result, generation_path(root, batch_id))
-
     return (
-        reader.load(source).writeStream.foreachBatch(load_batch)
+        reader.load(source).writeStream
+        .foreachBatch(lambda batch, batch_id: load_batch(resource, batch, batch_id, target, as_of))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from carelake.operators import load
 from carelake.operators.flatten import tables_of
+from carelake.operators.generations import Store
 from carelake.plans import jobs
 
 T = [datetime(2024, 1, d) for d in range(1, 10)]
@@ -166,3 +167,79 @@ def test_sample_is_taken_after_deletion(spark, resource_rows):
     source = resource_rows("Observation", observation(5, 1), observation(5, 2, isDelete=True))
     result = jobs.load_resource("Observation", source, jobs.empty_tables(spark, "Observation"), sample=1)
     assert count(result.tables, "observations") == 0
+
+
+# --- increments -----------------------------------------------------------------
+
+
+def test_increments_equal_rewritten_tables(spark, resource_rows, tmp_path):
+    target = jobs.store(spark, "Observation", str(tmp_path / "store"), buckets=4).create()
+    unreadable = observation(5, 1, notes=2)
+    unreadable["meta"] = {"lastUpdated": "unknown"}
+    steps = [
+        [*[observation(i, 2, notes=3) for i in range(20)], observation(30, 2, "entered-in-error")],
+        # the described example: 5 arrive, 3 are processed, 2 skipped, 1 cleaned up
+        [observation(1, 5, notes=1), observation(2, 1), observation(3, 2), observation(40, 5), observation(41, 5)],
+        [observation(4, 6, "entered-in-error"), observation(1, 6, notes=0), observation(99, 6, "entered-in-error"), unreadable],
+    ]
+    tables, statistics = jobs.empty_tables(spark, "Observation"), []
+    for step, rows in enumerate(steps):
+        source = resource_rows("Observation", *rows)
+        whole = jobs.load_resource("Observation", source, tables, "2024-02-01", backdate_days=30)
+        jobs.write_load(whole, str(tmp_path / f"{step}"))
+        tables = jobs.read_tables(spark, "Observation", str(tmp_path / f"{step}"))
+        statistics.append(jobs.load_increment("Observation", source, target, "2024-02-01", backdate_days=30))
+    for table, df in target.read_all().items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, tables[table].select(*df.columns).collect())), table
+    assert [statistics[1][c] for c in ("source_rows", "kept", "skipped", "new", "updated")] == [5, 3, 2, 2, 1]
+    assert [statistics[2][c] for c in ("retracted", "unversioned", "child_rows")] == [2, 1, 4]
+    assert target.read("observations").filter("observation_id IN ('4', '99')").count() == 0
+    # an earlier state is still there
+    assert target.read("observation_notes", upto=1).filter("observation_id = '1'").count() == 3
+
+
+def test_compaction_keeps_the_live_rows(spark, tmp_path):
+    ddl = "id string, v int"
+    target = Store(spark, str(tmp_path / "store"), {"main": frame(spark, ddl=ddl).schema, "child": frame(spark, ddl=ddl).schema}, "id", 4).create()
+
+    def arrive(gen, ids, children, gone=()):
+        target.write_rows(gen, "main", frame(spark, *[(str(i), gen) for i in ids], ddl=ddl))
+        target.write_rows(gen, "child", frame(spark, *[(str(i), gen * 100 + k) for i in ids for k in range(children)], ddl=ddl))
+        target.write_keys(gen, frame(spark, *[(str(i),) for i in (*ids, *gone)], ddl="id string"))
+        target.commit(gen)
+
+    state = lambda: {t: sorted(map(tuple, df.collect())) for t, df in target.read_all().items()}
+    arrive(1, range(40), 2)
+    arrive(2, range(5), 1)
+    arrive(3, [], 0, gone=[7])
+    before = state()
+    assert len(before["main"]) == 39 and len(before["child"]) == 5 + 34 * 2
+    assert target.compact([0, 2]) == 4 and state() == before
+    assert {b for _, b in target.obsolete()} == {0, 2} and max(g for g, _ in target.obsolete()) == 3
+    arrive(5, range(3), 0)
+    after = state()
+    assert len(after["child"]) == 2 + 34 * 2
+    assert target.compact() == 6 and state() == after
+
+
+def test_a_broken_load_is_not_seen_and_is_overwritten(spark, tmp_path):
+    ddl = "id string, v int"
+    target = Store(spark, str(tmp_path / "store"), {"main": frame(spark, ddl=ddl).schema}, "id", 8).create()
+    target.write_rows(1, "main", frame(spark, *[(str(k), 1) for k in range(30)], ddl=ddl))
+    assert target.read("main").count() == 0
+    target.write_rows(1, "main", frame(spark, ("a", 2), ddl=ddl))
+    target.commit(1)
+    assert [tuple(r) for r in target.read("main").collect()] == [("a", 2)]
+
+
+def test_bytes_written_follow_the_increment(spark, resource_rows, tmp_path):
+    def written(gen):
+        return sum(p.stat().st_size for p in (tmp_path / "store").glob(f"**/*gen={gen}/**/*.parquet") if "input" not in p.parts)
+
+    target = jobs.store(spark, "Observation", str(tmp_path / "store"), buckets=4).create()
+    jobs.load_increment("Observation", resource_rows("Observation", *[observation(i, 2, notes=5) for i in range(3000)]), target, "2024-02-01")
+    jobs.load_increment("Observation", resource_rows("Observation", observation(8, 3), observation(9, 3)), target, "2024-02-01")
+    jobs.load_increment("Observation", resource_rows("Observation", observation(9, 4)), target, "2024-02-01")
+    assert written(3) <= written(2) < written(1) / 2
+    rows = {g: sum(target.written(g, t).count() for t in target.tables) for g in (1, 2, 3)}
+    assert rows[2] == 2 * rows[3] and rows[1] > 1000 * rows[2]

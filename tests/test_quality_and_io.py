@@ -7,7 +7,7 @@ from carelake.operators import quality
 from carelake.plans import jobs
 from carelake.session import shared_folder
 from carelake.sources import io, schemas
-from carelake.streaming.incremental import generation_path, run_increments
+from carelake.streaming.incremental import load_batch, run_increments
 
 
 def test_null_profile_and_drift(spark):
@@ -55,18 +55,31 @@ def test_shared_folder_is_the_named_one(spark):
 
 
 def test_increments(spark, tmp_path):
-    source, root, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    source, check = tmp_path / "in", str(tmp_path / "check")
     source.mkdir()
+    target = jobs.store(spark, "Medication", str(tmp_path / "out"), buckets=4).create()
 
     def arrive(name, *rows):
         (source / name).write_text("\n".join(json.dumps(r) for r in rows))
-        run_increments(spark, "Medication", str(source), root, check, as_of="2024-01-01").awaitTermination()
+        run_increments(spark, "Medication", str(source), target, check, as_of="2024-01-01").awaitTermination()
 
     def row(i, day, status):
         return {"id": i, "status": status, "meta": {"lastUpdated": f"2024-01-{day:02d}T00:00:00Z"}, "identifier": [{"value": status}]}
 
+    def content():
+        return ([(r["medication_id"], r["status"]) for r in dicts(target.read("medications"), "medication_id")],
+                sorted(r["identifier_value"] for r in dicts(target.read("medication_identifiers"))))
+
     arrive("a.json", row("1", 1, "a"), row("2", 1, "b"))
     arrive("b.json", row("1", 2, "c"), row("2", 1, "late copy"), row("3", 1, "d"))
-    tables = jobs.read_tables(spark, "Medication", generation_path(root, 1))
-    assert [(r["medication_id"], r["status"]) for r in dicts(tables["medications"], "medication_id")] == [("1", "c"), ("2", "b"), ("3", "d")]
-    assert sorted(r["identifier_value"] for r in dicts(tables["medication_identifiers"])) == ["b", "c", "d"]
+    assert content() == ([("1", "c"), ("2", "b"), ("3", "d")], ["b", "c", "d"])
+
+    # a batch that is repeated changes nothing; one of one row writes files of that row only
+    before = sorted(tmp_path.glob("out/**/*.parquet"))
+    again = spark.read.schema(schemas.resource_schema("Medication")).json(str(source / "b.json"))
+    assert load_batch("Medication", again, 1, target, "2024-01-01") is None
+    assert sorted(tmp_path.glob("out/**/*.parquet")) == before
+    arrive("c.json", row("2", 9, "e"))
+    new = sorted(p.relative_to(tmp_path / "out").parts[:2] for p in tmp_path.glob("out/**/*_gen=3/**/*.parquet"))
+    assert new == [("keys", "_gen=3"), ("rows", "medication_identifiers"), ("rows", "medications")]
+    assert content() == ([("1", "c"), ("2", "e"), ("3", "d")], ["c", "d", "e"])
