@@ -158,7 +158,7 @@ def _(spark, sf):
 
 
 @query("expr_inferred_evidence", f"""SELECT oid AS id, CASE WHEN inferred THEN '[{{"url":"urn:AI-evidence:quote","reference":"DocumentReference/' || k ||
- '","display":"Source","valueString":"q' || k || '","value":[{{"url":"page","valueInteger":' || k || '}}]}}]' END AS evidence FROM {flat_sql.EVENTS}""")
+ '","display":"Source","valueString":"q' || k || '","value":[{{"extension":[{{"extension":[{{"url":"column","valueString":"q' || k || '"}}],"url":"line"}}],"url":"page","valueInteger":' || k || '}}]}}]' END AS evidence FROM {flat_sql.EVENTS}""")
 def _(spark, sf):
     return plain(stage.resource(spark, sf, "Observation").select(
         "id", C.inferred_evidence(col("meta"), col("derivedFrom"), "ai-evidence").alias("evidence")))

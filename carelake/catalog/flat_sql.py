@@ -232,7 +232,17 @@ flat("condition_extensions", "orders",
       "value_string": "o_orderpriority", "extension_order": "0"},
      {**_C, "extension_url": "'urn:count'", "extension_type": "'simple'", "value_type": "'integer'",
       "value_integer": _D, "extension_order": "1"},
-     {**_C, "extension_url": "'urn:group'", "extension_type": "'nested'", "value_type": "'unknown'", "extension_order": "2"})
+     {**_C, "extension_url": "'urn:group'", "extension_type": "'nested'", "value_type": "'unknown'", "extension_order": "2"},
+     {**_C, "extension_url": "'urn:inner'", "extension_type": "'simple'", "value_type": "'boolean'", "value_boolean": "true",
+      "parent_extension_url": "'urn:group'", "extension_order": "0"},
+     {**_C, "extension_url": "'urn:two'", "extension_type": "'nested'", "value_type": "'unknown'",
+      "parent_extension_url": "'urn:group'", "extension_order": "1"},
+     {**_C, "extension_url": "'urn:three'", "extension_type": "'nested'", "value_type": "'code'", "value_code": "o_orderpriority",
+      "parent_extension_url": "'urn:two'", "extension_order": "0"},
+     {**_C, "extension_url": "'urn:four'", "extension_type": "'nested'", "value_type": "'unknown'",
+      "parent_extension_url": "'urn:three'", "extension_order": "0"},
+     {**_C, "extension_url": "'urn:five'", "extension_type": "'simple'", "value_type": "'integer'", "value_integer": _D,
+      "parent_extension_url": "'urn:four'", "extension_order": "0"})
 
 # --- Observation ----------------------------------------------------------------
 
@@ -319,7 +329,9 @@ flat("diagnostic_reports", "orders", {
     "code_primary_system": "'urn:report'",
     "code_primary_display": case("o_orderpriority", {k: v[1] for k, v in bridge.REPORTS.items()}),
     "patient_id": "o_custkey", "encounter_id": "o_orderkey", "meta_last_updated": "o_orderdate + INTERVAL 3 DAY",
-    "extensions": """'[{"url":"urn:priority","valueString":"' || o_orderpriority || '"}]'""",
+    "extensions": """'[{"url":"urn:priority","valueString":"' || o_orderpriority ||
+ '"},{"url":"urn:outer","extension":[{"extension":[{"extension":[{"extension":[{"url":"e","valueString":"' || o_orderpriority ||
+ '"}],"url":"d"}],"url":"c"}],"url":"b"}]}]'""",
 })
 flat("diagnostic_report_categories", "orders",
      {**_G, "category_code": "'RAD'", "category_system": "'urn:section'", "category_display": "'Radiology'"},

@@ -117,6 +117,11 @@ def as_json(value: Column) -> Column:
     return F.to_json(value)
 
 
+def extensions_json(extensions: Column) -> Column:
+    """Extensions as JSON text, nested ones of any depth included."""
+    return F.to_json(F.transform(extensions, lambda e: e.withField("extension", F.try_parse_json(e["extension"]))))
+
+
 def join_words(words: Column, delimiter: str = " ") -> Column:
     """Joined array; NULL for an absent or empty array."""
     return F.when(F.size(words) > 0, F.array_join(words, delimiter))
@@ -159,6 +164,52 @@ def value_kind(extension: Column) -> Column:
     return F.coalesce(*named, F.lit("unknown"))
 
 
+EXTENSION_FIELDS = {  # fields of a listed extension: where they lie, and their type
+    "url": "string", "valueString": "string", "valueDateTime": "string", "valueReference.reference": "string", "valueCode": "string",
+    "valueBoolean": "boolean", "valueDecimal": "decimal(18,6)", "valueInteger": "int",
+}
+
+
+def nested_extensions(text: Column, parent: Column) -> Column:
+    """All extensions in the JSON list ``text``, at any depth: ``parent`` url, ``position`` below it, ``node``.
+
+    Level by level, inside the row: as many steps as the text names "extension",
+    which no depth exceeds.  Text that is not JSON has none.
+    """
+
+    def below(items: Column, parent: Column) -> Column:
+        items = F.coalesce(items, F.array().cast("array<variant>"))
+        return F.transform(items, lambda node, i: F.struct(parent.alias("parent"), i.alias("position"), node.alias("node")))
+
+    def step(state: Column, _: Column) -> Column:
+        following = F.flatten(F.transform(state["level"], lambda x: below(
+            F.try_variant_get(x["node"], "$.extension", "array<variant>"), F.try_variant_get(x["node"], "$.url", "string"))))
+        return F.struct(following.alias("level"), F.concat(state["found"], following).alias("found"))
+
+    nodes = "array<struct<parent:string,position:int,node:variant>>"
+    start = below(F.try_variant_get(F.try_parse_json(text), "$", "array<variant>"), parent).cast(nodes)
+    steps = F.array_repeat(F.lit(1), F.coalesce(F.regexp_count(text, F.lit('"extension"')), F.lit(0)))
+    return F.aggregate(steps, F.struct(start.alias("level"), start.alias("found")), step, lambda state: state["found"])
+
+
+def all_extensions(extensions: Column) -> Column:
+    """Extensions and all that lie below them: their values, ``parent`` url (NULL at the top), ``position``, ``nested``."""
+
+    def listed(get, parent: Column, position: Column, nested: Column) -> Column:
+        fields = [get(path, dtype).cast(dtype).alias(path.split(".")[0]) for path, dtype in EXTENSION_FIELDS.items()]
+        return F.struct(*fields, parent.alias("parent"), position.alias("position"), nested.alias("nested"))
+
+    def typed(e: Column):
+        return lambda path, _: reduce(lambda c, f: c[f], path.split("."), e)
+
+    top = F.transform(extensions, lambda e, i: listed(typed(e), F.lit(None).cast("string"), i, e["extension"].isNotNull()))
+    below = F.flatten(F.transform(F.filter(extensions, lambda e: e["extension"].isNotNull()), lambda e: F.transform(
+        nested_extensions(e["extension"], e["url"]), lambda x: listed(
+            lambda path, dtype: F.try_variant_get(x["node"], f"$.{path}", dtype), x["parent"], x["position"],
+            F.try_variant_get(x["node"], "$.extension", "array<variant>").isNotNull()))))
+    return F.concat(top, below)
+
+
 def numeric_value(*candidates: Column, precision: str = "decimal(15,4)") -> Column:
     """First candidate that reads as a number."""
     return F.coalesce(*[c.try_cast(precision) for c in candidates])
@@ -280,7 +331,7 @@ def inferred_evidence(meta: Column, derived_from: Column, url_marker: str) -> Co
     """JSON list of evidence extensions of a machine-inferred observation.
 
     Only rows whose ``meta.security`` holds the AI tag give a value; kept are the
-    extensions whose url contains ``url_marker``, with their nested values.
+    extensions whose url contains ``url_marker``, with all that lies below them.
     """
     is_inferred = F.exists(meta["security"], lambda s: s["code"] == codes.AI_SECURITY_CODE)
 
@@ -288,13 +339,12 @@ def inferred_evidence(meta: Column, derived_from: Column, url_marker: str) -> Co
         return [ext[v].alias(v) for v in EVIDENCE_VALUES]
 
     def one(source: Column, ext: Column) -> Column:
-        nested = F.transform(ext["extension"], lambda n: F.struct(n["url"].alias("url"), *values(n)))
         return F.struct(
             ext["url"].alias("url"),
             source["reference"].alias("reference"),
             source["display"].alias("display"),
             *values(ext),
-            F.when(F.size(nested) > 0, nested).alias("value"),
+            F.try_parse_json(ext["extension"]).alias("value"),
         )
 
     found = F.flatten(

@@ -27,7 +27,7 @@ class Rule:
     table: str
     key: str
     build: Callable[..., dict[str, Column]]
-    levels: tuple[str, ...] = ()
+    levels: tuple[str | Callable[[], Column], ...] = ()
     required: tuple[str, ...] = ()
     any_of: tuple[str, ...] = ()
     positions: bool = False
@@ -44,7 +44,8 @@ def rule(resource: str, table: str, key: str, levels=(), required=(), any_of=(),
     """Register a builder ``f(*items) -> {column: expression}`` for a table.
 
     ``items`` are the exploded elements, outermost first; with ``positions`` the
-    element position comes last.
+    element position comes last.  The first level may be a function that gives the
+    array to explode.
     """
 
     def register(build):
@@ -57,7 +58,7 @@ def rule(resource: str, table: str, key: str, levels=(), required=(), any_of=(),
 def _explode(df: DataFrame, levels, positions: bool) -> tuple[DataFrame, list[Column]]:
     items: list[str] = []
     for depth, path in enumerate(levels):
-        source = F.col(path) if depth == 0 else reduce(lambda c, f: c[f], path.split("."), F.col(items[-1]))
+        source = path() if callable(path) else F.col(path) if depth == 0 else reduce(lambda c, f: c[f], path.split("."), F.col(items[-1]))
         names = [f"_item{depth}"]
         if positions and depth == len(levels) - 1:
             df = df.select("*", F.posexplode(source).alias("_position", names[0]))

@@ -63,7 +63,7 @@ def _():
         "resourcetype": F.lit("Patient"),
         **_first("marital_status", col("maritalStatus")),
         "meta_security": C.as_json(col("meta.security")),
-        "extensions": C.as_json(col("extension")),
+        "extensions": C.extensions_json(col("extension")),
     }
 
 
@@ -282,20 +282,21 @@ def _(evidence, coding):
     return _coding("evidence", coding, ("code", "system"))
 
 
-@rule("Condition", "condition_extensions", "condition_id", ["extension"], positions=True)
-def _(extension, position):
+@rule("Condition", "condition_extensions", "condition_id", [lambda: C.all_extensions(col("extension"))])
+def _(extension):
     return {
         "extension_url": extension["url"],
-        "extension_type": F.when(extension["extension"].isNotNull(), F.lit("nested")).otherwise(F.lit("simple")),
+        "extension_type": F.when(extension["nested"], F.lit("nested")).otherwise(F.lit("simple")),
         "value_type": C.value_kind(extension),
         "value_string": extension["valueString"],
         "value_datetime": C.parse_timestamp(extension["valueDateTime"], dates=True),
-        "value_reference": extension["valueReference"]["reference"],
+        "value_reference": extension["valueReference"],
         "value_code": extension["valueCode"],
         "value_boolean": extension["valueBoolean"],
         "value_decimal": extension["valueDecimal"],
         "value_integer": extension["valueInteger"],
-        "extension_order": position,
+        "parent_extension_url": extension["parent"],
+        "extension_order": extension["position"],
     }
 
 
@@ -321,7 +322,7 @@ def _():
         "effective_period_start": C.parse_timestamp(col("effectivePeriod.start"), short=True),
         "issued": C.parse_timestamp(col("issued"), short=True),
         "meta_security": C.as_json(col("meta.security")),
-        "extensions": C.as_json(col("extension")),
+        "extensions": C.extensions_json(col("extension")),
         "derived_from": F.transform(
             col("derivedFrom"),
             lambda d: F.struct(*[d[p].alias(p) for p in ("reference", "display", "type")]),
@@ -446,7 +447,7 @@ def _():
         **_first("code_primary", col("code")),
         **_patient(),
         "encounter_id": _ref("encounter", "Encounter"),
-        "extensions": C.as_json(col("extension")),
+        "extensions": C.extensions_json(col("extension")),
     }
 
 
@@ -715,7 +716,7 @@ def _():
         "meta_source": col("meta.source"),
         "meta_security": C.as_json(col("meta.security")),
         "meta_tag": C.as_json(col("meta.tag")),
-        "extensions": C.as_json(col("extension")),
+        "extensions": C.extensions_json(col("extension")),
     }
 
 

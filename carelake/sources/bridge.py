@@ -307,7 +307,9 @@ def condition(spark: SparkSession, folder: str) -> DataFrame:
         "extension": [
             {"url": "urn:note", "valueString": pr},
             {"url": "urn:count", "valueInteger": _digit(pr)},
-            {"url": "urn:group", "extension": [{"url": "urn:inner", "valueBoolean": True}]},
+            {"url": "urn:group", "extension": _text(
+                '[{"url":"urn:inner","valueBoolean":true},{"url":"urn:two","extension":[{"url":"urn:three","valueCode":"', pr,
+                '","extension":[{"url":"urn:four","extension":[{"url":"urn:five","valueInteger":', _digit(pr), '}]}]}]}]')},
         ],
     })
 
@@ -387,7 +389,8 @@ def observation(spark: SparkSession, folder: str) -> DataFrame:
         "derivedFrom": (inferred, [
             {"reference": _text("DocumentReference/", c("k")), "display": "Source", "extension": [
                 {"url": "urn:AI-evidence:quote", "valueString": _text("q", c("k")),
-                 "extension": [{"url": "page", "valueInteger": c("k")}]},
+                 "extension": _text('[{"url":"page","valueInteger":', c("k"), ',"extension":[{"url":"line","extension":[{"url":"column","valueString":"q',
+                                    c("k"), '"}]}]}]')},
                 {"url": "urn:other", "valueString": "skip"}]},
             {"reference": "Observation/obs-1", "type": "Observation"},
         ]),
@@ -427,7 +430,8 @@ def diagnostic_report(spark: SparkSession, folder: str) -> DataFrame:
         "presentedForm": [
             {"contentType": "application/pdf", "data": _text("ZGF0YQ", _digit(pr)), "title": pr}, {"title": "empty"},
         ],
-        "extension": [{"url": "urn:priority", "valueString": pr}],
+        "extension": [{"url": "urn:priority", "valueString": pr}, {"url": "urn:outer", "extension": _text(
+            '[{"url":"b","extension":[{"url":"c","extension":[{"url":"d","extension":[{"url":"e","valueString":"', pr, '"}]}]}]}]')}],
     })
 
 

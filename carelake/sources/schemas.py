@@ -19,16 +19,13 @@ PERIOD = "struct<start:string,end:string>"
 IDENTIFIER = f"struct<use:string,type:{CONCEPT},system:string,value:string,period:{PERIOD}>"
 
 
-def _extension(inner: str = "") -> str:
-    return (
-        "struct<url:string,valueString:string,valueDateTime:string,valueCode:string,"
-        "valueBoolean:boolean,valueDecimal:decimal(18,6),valueInteger:int,"
-        f"valueQuantity:{QUANTITY},valueReference:{REFERENCE},valueCodeableConcept:{CONCEPT}{inner}>"
-    )
-
-
-# Extension is recursive in FHIR; it is read to a fixed depth of two.
-EXTENSION = _extension(f",extension:array<{_extension()}>")
+# Extension is recursive in FHIR.  What lies below an extension is kept as JSON text,
+# whatever its depth (a string field takes the text of a JSON list as it is).
+EXTENSION = (
+    "struct<url:string,valueString:string,valueDateTime:string,valueCode:string,"
+    "valueBoolean:boolean,valueDecimal:decimal(18,6),valueInteger:int,"
+    f"valueQuantity:{QUANTITY},valueReference:{REFERENCE},valueCodeableConcept:{CONCEPT},extension:string>"
+)
 META = (
     "struct<lastUpdated:string,source:string,profile:array<string>,"
     f"security:array<{CODING}>,tag:array<{CODING}>>"

@@ -1,3 +1,4 @@
+import json
 from decimal import Decimal
 
 import pytest
@@ -7,7 +8,7 @@ from carelake.operators import quality
 from carelake.operators.flatten import RULES, flatten, flatten_all, tables_of
 from carelake.plans import resources  # noqa: F401
 from carelake.plans.resources import observation_component
-from carelake.sources import schemas
+from carelake.sources import io, schemas
 
 
 def test_thirteen_main_and_57_child_tables():
@@ -68,7 +69,7 @@ def test_component_value_by_system(spark, resource_rows):
 def test_extension_order_and_kind(spark, resource_rows):
     df = resource_rows("Condition", {"id": "1", "subject": {"reference": "Patient/1"}, "extension": [
         {"url": "a", "valueCode": "c"}, {"url": "b", "extension": [{"url": "n"}]}, {"url": "c", "valueReference": {"reference": "X/1"}}]})
-    rows = dicts(flatten(df, "condition_extensions"), "extension_order")
+    rows = [r for r in dicts(flatten(df, "condition_extensions"), "extension_order") if r["parent_extension_url"] is None]
     assert [(r["extension_order"], r["extension_type"], r["value_type"]) for r in rows] == [
         (0, "simple", "code"), (1, "nested", "unknown"), (2, "simple", "reference")]
     assert rows[2]["value_reference"] == "X/1"
@@ -93,3 +94,37 @@ def test_only_needed_nested_fields_are_scanned(spark, resource_rows, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     scan = plan[plan.index("ReadSchema"):]
     assert "component" not in scan and "valueQuantity" not in scan and "Exchange" not in plan
+
+
+def deep(depth):
+    """An extension with ``depth`` levels, named by level."""
+    inner = {"url": f"l{depth}", "valueInteger": depth}
+    for level in range(depth - 1, 0, -1):
+        inner = {"url": f"l{level}", "extension": [inner, {"url": f"side{level}", "valueReference": {"reference": f"X/{level}"}}]}
+    return inner
+
+
+def test_extensions_of_any_depth(spark, resource_rows):
+    source = resource_rows(
+        "Condition", {"id": "1", "subject": {"reference": "Patient/1"}, "extension": [deep(3), {"url": "flat", "valueDecimal": 0.5}]},
+        {"id": "2", "extension": [deep(5)]}, {"id": "3", "extension": [{"url": "odd", "extension": []}]}, {"id": "4"})
+    rows = dicts(flatten(source, "condition_extensions"))
+    found = {(r["condition_id"], r["parent_extension_url"], r["extension_url"], r["extension_type"], r["value_type"], r["extension_order"]) for r in rows}
+    assert len(rows) == 5 + 1 + 9 + 1
+    for key, depth in (("1", 3), ("2", 5)):
+        for level in range(1, depth):
+            assert (key, f"l{level - 1}" if level > 1 else None, f"l{level}", "nested", "unknown", 0) in found
+            assert (key, f"l{level}", f"side{level}", "simple", "reference", 1) in found
+        assert (key, f"l{depth - 1}", f"l{depth}", "simple", "integer", 0) in found
+    assert {r["value_reference"] for r in rows if r["extension_url"].startswith("side")} == {f"X/{k}" for k in range(1, 5)}
+    assert ("3", None, "odd", "nested", "unknown", 0) in found and ("1", None, "flat", "simple", "decimal", 1) in found
+
+
+def test_extensions_that_are_columns_become_text(spark, tmp_path):
+    source = {"id": "1", "extension": [deep(4)]}
+    path = str(tmp_path / "r")
+    spark.read.json(spark.sparkContext.parallelize([json.dumps(source)])).write.parquet(path)
+    df = io.read_resource(spark, "Condition", path)
+    assert df.schema == schemas.resource_schema("Condition")
+    urls = [r["extension_url"] for r in dicts(flatten(df, "condition_extensions"), "extension_url")]
+    assert urls == ["l1", "l2", "l3", "l4", "side1", "side2", "side3"]
