@@ -6,11 +6,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from carelake.catalog import stage
+from carelake.catalog import flat_sql, stage
 from carelake.catalog.marts import oracle
-from carelake.catalog.registry import query
+from carelake.catalog.registry import ORACLES, query
 from carelake.catalog.render import plain
+from carelake.catalog.reports import COHORT_FROM, REPORT_FROM
 from carelake.operators import quality
+from carelake.operators.flatten import RULES
 from carelake.plans import refresh
 from carelake.session import shared_folder
 from carelake.sources import bridge
@@ -75,24 +77,75 @@ def _(spark, sf):
     return quality.load_statistics(rows, rows, newest, None, classified, {"lines": rows})
 
 
-_REFRESHED = ("fact_practitioners", "fact_patients", "fact_allergy_intolerance", "fact_care_plans", "fact_medication_requests", "fact_procedures",
-              "fact_diagnostic_reports", "fact_document_references")
+_MARTS_ALL = [n for names in refresh.LEVELS.values() for n in names]
+_PERIODS = {"cohort_from": COHORT_FROM, "report_from": REPORT_FROM}
 
 
-@query("refresh_registry", oracle(" UNION ALL ".join(
-    f"SELECT '{n}' AS mart_name, {refresh.level_of(n)}::BIGINT AS dependency_level, 'MATERIALIZED' AS mart_type, 'FACT' AS mart_category, "
-    f"'2001-06-01 00:00:00.000000' AS last_refreshed, count(*) AS row_count FROM {n}" for n in _REFRESHED)))
+def _count(mart: str, changed=lambda sql: sql) -> str:
+    """Rows of a mart, from its own oracle."""
+    sql = ORACLES[mart] if mart.startswith("report_") else oracle(f"SELECT * FROM {mart}")
+    return f"(SELECT count(*) FROM ({changed(sql)}))"
+
+
+_refreshed: dict[tuple[str, str], tuple[str, dict]] = {}
+
+
+def refreshed(spark, sf):
+    """All marts in stores, made once per session: (root, live rows by mart)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _refreshed:
+        root = f"{shared_folder(spark)}/carelake/marts/{uuid.uuid4().hex}"
+        _refreshed[key] = root, refresh.refresh_stores(spark, stage.Tables(spark, sf), root, stage.AS_OF, **_PERIODS)
+    return _refreshed[key]
+
+
+@query("refresh_registry", " UNION ALL ".join(
+    f"SELECT '{n}' AS mart_name, {refresh.level_of(n)}::BIGINT AS dependency_level, 'MATERIALIZED' AS mart_type, "
+    f"'{'FACT' if n.startswith('fact_') else 'REPORTING'}' AS mart_category, '2001-06-01 00:00:00.000000' AS last_refreshed, {_count(n)} AS row_count"
+    for n in _MARTS_ALL))
 def _(spark, sf):
-    """Marts of levels 0 and 1 built in order; the registry holds one row for each."""
-    root = f"{shared_folder(spark)}/carelake/marts/{uuid.uuid4().hex}"
-    marts = refresh.refresh(spark, stage.Tables(spark, sf), root, levels=(0, 1), as_of=stage.AS_OF)
+    """All marts built level by level; the registry holds one row for each."""
+    marts = refreshed(spark, sf)[1]
     first = refresh.registry_rows(spark, marts, "2001-05-01")
     return plain(refresh.update_registry(first, refresh.registry_rows(spark, marts, stage.AS_OF)))
 
 
-@query("refresh_registry_summary", oracle("""SELECT 2::BIGINT AS dependency_level, 'FACT' AS mart_category, 'MATERIALIZED' AS mart_type, 3::BIGINT AS marts,
- (SELECT count(*) FROM fact_conditions) + (SELECT count(*) FROM fact_encounters) + (SELECT count(*) FROM fact_observations) AS row_count
- UNION ALL SELECT 1, 'FACT', 'MATERIALIZED', 1, (SELECT count(*) FROM fact_patients)"""))
+@query("refresh_registry_summary", "SELECT dependency_level, mart_category, 'MATERIALIZED' AS mart_type, count(*) AS marts, sum(row_count)::BIGINT AS row_count FROM ("
+       + " UNION ALL ".join(f"SELECT {refresh.level_of(n)}::BIGINT AS dependency_level, '{'FACT' if n.startswith('fact_') else 'REPORTING'}' AS mart_category, "
+                            f"{_count(n)} AS row_count" for n in _MARTS_ALL) + ") GROUP BY 1, 2")
+def _(spark, sf):
+    return plain(refresh.registry_summary(refresh.registry_rows(spark, refreshed(spark, sf)[1], stage.AS_OF)))
+
+
+# Resources that vanish between two refreshes, by the digits of their keys.
+_GONE = {"Encounter": ("encounters", "encounter_id"), "Condition": ("conditions", "condition_id"), "Observation": ("observations", "observation_id"),
+         "MedicationRequest": ("medication_requests", "medication_request_id")}
+
+
+def _changed(sql: str) -> str:
+    """Oracle over tables without every tenth of these resources."""
+    for table, key in _GONE.values():
+        for name in flat_sql.RAW:
+            if key in dict(flat_sql.columns_of(name)) and (name == table or flat_sql.columns_of(name)[0][0] == key):
+                own = flat_sql.RAW[name]
+                kept = f"{name} AS (SELECT * FROM ({own}) WHERE CAST(regexp_extract({key}, '[0-9]+$') AS BIGINT) % 10 <> 3)"
+                for text in (own, " ".join(own.split("\n"))):
+                    sql = sql.replace(f"{name} AS ({text})", kept)
+    return sql
+
+
+@query("refresh_changes", " UNION ALL ".join(
+    f"SELECT '{n}' AS mart_name, {_count(n, _changed)} AS row_count" for n in _MARTS_ALL))
 def _(spark, sf):
-    marts = {n: stage.fact(spark, sf, n) for n in ("fact_patients", "fact_conditions", "fact_encounters", "fact_observations")}
-    return plain(refresh.registry_summary(refresh.registry_rows(spark, marts, stage.AS_OF)))
+    """Every tenth of some resources goes: all marts refreshed by touched keys."""
+    before, after = stage.Tables(spark, sf), stage.Tables(spark, sf)
+    changes = {}
+    for resource, (main, key) in _GONE.items():
+        gone = F.regexp_extract(key, "[0-9]+$", 0).cast("long") % 10 == 3
+        changes[resource] = before[main].where(gone).select(key)
+        for name, rule in RULES.items():
+            if rule.resource == resource:
+                after[name] = before[name].where(~gone)
+    root, marts = refreshed(spark, sf)
+    marts = refresh.refresh_changes(spark, before, after, changes, marts, root, stage.AS_OF, **_PERIODS)
+    return quality.row_counts(marts).withColumnRenamed("table_name", "mart_name").withColumnRenamed("rows", "row_count")

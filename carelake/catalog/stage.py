@@ -9,6 +9,7 @@ re-read only.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,17 +20,19 @@ from carelake.sources import bridge
 
 AS_OF = "2001-06-01"
 _written: dict[tuple[str, str], str] = {}
+_lock = threading.RLock()  # marts of one level ask for their inputs at the same time
 
 
 def _stage(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     configure(spark)
     app = spark.sparkContext.applicationId
     key = (app, f"{sf}:{name}")
-    if key not in _written:
-        digest = hashlib.sha256(sf.encode()).hexdigest()[:12]
-        path = f"{shared_folder(spark)}/carelake/{app}/{digest}/{name}"
-        build().write.mode("overwrite").parquet(path)
-        _written[key] = path
+    with _lock:
+        if key not in _written:
+            digest = hashlib.sha256(sf.encode()).hexdigest()[:12]
+            path = f"{shared_folder(spark)}/carelake/{app}/{digest}/{name}"
+            build().write.mode("overwrite").parquet(path)
+            _written[key] = path
     return spark.read.parquet(_written[key])
 
 

@@ -118,7 +118,7 @@ def store(spark: SparkSession, resource: str, root: str, buckets: int = 64) -> S
     return Store(spark, root, {t: schemas.table_schema(t) for t in (main, *children)}, RULES[main].key, buckets)
 
 
-def at_once(spark: SparkSession, run: Callable[[str], None], names: Iterable[str], most: int = 4) -> None:
+def at_once(spark: SparkSession, run: Callable[[str], None], names: Iterable[str], most: int = 8) -> None:
     """Submit independent Spark jobs at the same time, so that small ones do not wait for each other."""
     with ThreadPoolExecutor(most) as pool:
         list(pool.map(inheritable_thread_target(spark)(run), names))
