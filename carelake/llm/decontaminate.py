@@ -3,7 +3,8 @@
 Texts are lower-cased, cut into words (runs of letters, digits and characters
 beyond ASCII) and into shingles of ``width`` words (fewer words: the whole
 sequence).  A benchmark item is in a document if at least ``threshold`` of its
-distinct shingles are.
+distinct shingles are.  An item of fewer words is looked for at its own length: documents
+also have the shingles of each length below ``width`` that an item has.
 
 Documents are partitioned by size (powers of two of their shingles).  The MinHash
 sketch of a document is one minimum per bin of the hash range, with ``bins`` bins
@@ -19,9 +20,8 @@ hashes (a literal of at most 2^23 bits, whatever the input) is tested inside the
 scan.  It has no false negatives; beyond about a million benchmark shingles it
 lets more through, which the joins then drop.
 
-Defined results: null and empty texts hold no shingle and match nothing; a
-document or item of fewer than ``width`` words is one shingle, its whole
-sequence; repeated rows and repeated items are reported once per pair of ids.
+Defined results: null and empty texts hold no shingle and match nothing; an item of
+fewer than ``width`` words is one shingle, its whole sequence; repeated rows and repeated items are reported once per pair of ids.
 """
 
 from __future__ import annotations
@@ -82,6 +82,8 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     own = scratch.save(own, "items")
     sizes = scratch.save(own.groupBy("item", "item_id").agg(F.count("*").alias("item_shingles")), "item_sizes")
     log_bits = min(MOST_BITS, max(10, own.count().bit_length() + 8))
+    length = F.size(F.split("shingle", " "))
+    short = sorted(r["m"] for r in own.select(length.alias("m")).where(F.col("m") < width).distinct().collect())  # width - 1 at most
     hashes = own.select("h").distinct()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -96,10 +98,17 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
     starts = F.when(F.col("n") > 0, F.sequence(F.lit(0), F.col("n") - 1)).otherwise(F.array().cast("array<int>"))
     hit = F.filter(starts, lambda i: _may_hit(F.get("hashes", i), bitmap, log_bits))
+
+    def texts(starts: Column, m: int) -> Column:
+        return F.transform(starts, lambda i: F.array_join(F.slice("words", i + 1, m), " "))
+
+    def hits_of(m: int) -> Column:
+        places = F.when(F.size("words") >= m, F.sequence(F.lit(0), F.size("words") - m)).otherwise(F.array().cast("array<int>"))
+        return texts(F.filter(places, lambda i: _may_hit(F.xxhash64(F.slice("words", i + 1, m)), bitmap, log_bits)), m)
+
+    hits = [texts(hit, width), *map(hits_of, short)]
     rows = rows.select(
-        "id", "row_key", "log_bins", F.filter("ordered", is_minimum).alias("minima"),
-        F.array_distinct(F.transform(hit, lambda i: F.array_join(F.slice("words", i + 1, width), " "))).alias("hits"),
-    )
+        "id", "row_key", "log_bins", F.filter("ordered", is_minimum).alias("minima"), F.array_distinct(F.concat(*hits)).alias("hits"))
     # written before it is filtered: a filter would be pushed below the projections and repeat them per element
     rows = scratch.save(rows, "sketches")
     rows = scratch.save(rows.where(F.size("hits") > 0).dropDuplicates(["row_key"]), "documents")

@@ -19,7 +19,7 @@ reports counts and a spanning forest, never its pairs.
 Defined results: a vector without id, label, or with null, zero, non-finite or
 missing components links with nothing (own component; null id: component null);
 vectors of different length do not link; rows that repeat an id are vectors of
-their own and share its component.
+their own: each has the links and the component of its own vector.
 """
 
 from __future__ import annotations
@@ -161,8 +161,10 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     rows = scratch.save(rows, "rows")
     good = rows.where("good")
     classes = good.groupBy("h", "label", "embedding").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    classes = scratch.save(classes.withColumn("label_key", F.xxhash64(F.col("label").cast("string"))), "classes")
-    keyed = classes.select(F.col("rep").alias("id"), "embedding", F.col("label_key").alias("label"), "copies").mapInArrow(
+    # a class is named by a number of its own: ids may repeat
+    classes = classes.withColumns({"label_key": F.xxhash64(F.col("label").cast("string")), "class": F.monotonically_increasing_id()})
+    classes = scratch.save(classes, "classes")
+    keyed = classes.select(F.col("class").alias("id"), "embedding", F.col("label_key").alias("label"), "copies").mapInArrow(
         _keyed(tables, bits), "id long, label long, copies long, dim int, keys array<int>, vector binary")
     keyed = scratch.save(keyed, "codes")
     bucketed = keyed.select("*", F.posexplode("keys").alias("t", "k")).withColumn("bucket", F.xxhash64("label", "dim", "t", "k"))
@@ -171,15 +173,17 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     blocked = chunk_pairs(shared, F.xxhash64("id", "vector"), chunk)
     ordered = blocked.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "label", "dim", "t", "i", "j")
     found = scratch.save(ordered.mapInArrow(_compare(threshold, epsilon), "a long, b long, n long"), "found")
-    copies = good.join(classes.select("h", "label", "embedding", "rep", "copies"), ["h", "label", "embedding"])
-    own_edges = copies.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    roots = component_roots(found.where("n = 0").select("a", "b").unionByName(own_edges), scratch)
-    near = found.where("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("near"))
-    counted = copies.join(scratch.save(near, "near"), "rep", "left").select(
-        "id", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
-    counted = counted.unionByName(rows.where("not good").select("id", F.lit(0).cast("long").alias("n_links")))
-    joined = counted.join(roots.withColumnRenamed("node", "id"), "id", "left")
-    return joined.select(
-        F.col("id").alias(id_col), "n_links", F.coalesce("root", "id").alias("component_id"),
-        F.coalesce(F.col("id") == F.coalesce("root", "id"), F.lit(False)).alias("kept"),
+    roots = component_roots(found.where("n = 0").select("a", "b"), scratch).withColumnRenamed("node", "class")
+    members = classes.select("class", "rep").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    lows = scratch.save(members.groupBy("root").agg(F.min("rep").alias("component_id")), "lows")
+    near = found.where("n > 0").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("near"))
+    results = members.select("class", "root").join(lows, "root").join(scratch.save(near, "near"), "class", "left")
+    results = classes.select("class", "h", "label", "embedding", "copies").join(results, "class").select(
+        "h", "label", "embedding", "component_id", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
+    counted = good.join(scratch.save(results, "results"), ["h", "label", "embedding"]).select("id", "n_links", "component_id")
+    counted = counted.unionByName(rows.where("not good").select(
+        "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")))
+    return counted.select(
+        F.col("id").alias(id_col), "n_links", "component_id",
+        F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"),
     )

@@ -101,8 +101,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     )
 
 
-def take(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with all its columns."""
-    taken = mix(docs, id_col, **options).groupBy(id_col).agg(F.max("copies").alias("__copies")).where("__copies > 0")
-    rows = docs.join(taken.withColumnRenamed(id_col, "__id"), F.col(id_col).eqNullSafe(F.col("__id")))
-    return rows.withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(*docs.columns)
+def take(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: each document as often as it is taken, with all its columns.
+
+    Rows are told apart by id and source; those that repeat both are taken alike.
+    """
+    taken = mix(docs, id_col, source_col=source_col, **options).select(
+        F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), F.col("copies").alias("__copies"))
+    taken = taken.where("__copies > 0").distinct()
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).cast("string").eqNullSafe(F.col("__source"))
+    return docs.join(taken, same).withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(*docs.columns)

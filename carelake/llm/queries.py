@@ -114,7 +114,10 @@ WITH words AS (
   UNION ALL
   SELECT 'b', item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') FROM benchmark),
 places AS (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0),
-shingles AS (SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s FROM places),
+short AS (SELECT DISTINCT len(w) AS m FROM words WHERE kind = 'b' AND len(w) BETWEEN 1 AND 4),
+short_places AS (SELECT id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, short WHERE kind = 'd' AND len(w) >= m),
+shingles AS (SELECT kind, id, array_to_string(w[i:i + 4], ' ') AS s FROM places
+  UNION SELECT 'd', id, array_to_string(w[i:i + m - 1], ' ') FROM short_places),
 sizes AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 'b' GROUP BY id),
 pairs AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared FROM shingles d JOIN shingles b ON d.s = b.s
   WHERE d.kind = 'd' AND b.kind = 'b' GROUP BY ALL)

@@ -152,6 +152,15 @@ def test_hot_bucket_of_embeddings_over_chunks(spark):
     assert [g[2:] for g in got] == [w[2:] for w in want]
 
 
+def test_vectors_that_repeat_an_id(spark):
+    def near(k):
+        return [1.0 if i == k else 0.1 if i == (k + 1) % 8 else 0.0 for i in range(8)]
+
+    rows = [(1, near(0), 1), (1, near(3), 1), (5, [1.0] + [0.0] * 7, 1), (7, [0.0] * 3 + [1.0] + [0.0] * 4, 1), (9, near(6), 1), (9, near(6), 1), (0, near(6), 2)]
+    got, want = check_links(spark, rows)
+    assert got == want and got.count((1, 1, 1, True)) == 2 and got.count((9, 1, 9, True)) == 2
+
+
 def test_empty_embeddings(spark):
     assert embed_dedup.links(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 

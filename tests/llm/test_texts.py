@@ -252,12 +252,32 @@ def test_contained_items_are_found_in_long_documents(spark, make_docs):
     frame = spark.createDataFrame(items, "item_id long, text string")
     docs = make_docs(*rows, clashing=True)
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, frame).collect()}
-    assert got == {(k, k) for k in range(6)} | {(10, 4), (12, 6), (None, 2), (16, None)}
+    assert got == {(k, k) for k in range(6)} | {(10, 4), (12, 6), (13, 6), (None, 2), (16, None)}
     kept = decontaminate.drop_contaminated(docs, frame)
-    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 11, 13, 14, 15]
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 11, 14, 15]
     assert decontaminate.find(docs, frame.limit(0)).count() == 0 and decontaminate.find(make_docs(), frame).count() == 0
 
 
+def test_items_of_fewer_words_than_a_shingle_are_found(spark, make_docs):
+    items = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "one, two"), (3, "x"), (4, "alpha beta gamma"), (5, "")], "item_id long, text string")
+    docs = make_docs((1, "x y alpha beta gamma delta z q"), (2, "One two"), (3, "two one"), (4, "alpha beta gamma"), (5, "w " * 5000 + "one two " + "w " * 5000),
+                     (6, "alpha gamma beta delta alpha"), (7, None))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, items).collect()}
+    assert got == {(1, 1), (1, 3), (1, 4), (2, 2), (4, 4), (5, 2)}
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()) == [3, 6, 7]
+
+
+def test_mix_takes_rows_by_id_and_source(spark, make_docs):
+    rows = [(k, "w " * 10, source) for source in "ab" for k in range(30)]
+    docs = make_docs(*rows, (None, "w w", None), (None, "w w", None))
+    want, got = Counter(), Counter()
+    for r in mixing.mix(docs).collect():
+        want[r["doc_id"], r["source"]] += r["copies"]
+    for r in mixing.take(docs).collect():
+        got[r["doc_id"], r["source"]] += 1
+    assert got == +want and len({want[k, "a"] - want[k, "b"] for k in range(30)}) > 1
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = corpus_pipeline.table(spark, SF, "documents")
     columns, sizes = docs.columns, []
