@@ -27,7 +27,6 @@ from carelake.session import shared_folder
 
 _MAIN, _CHILDREN = tables_of("Observation")
 _stores: dict[tuple[str, str], Store] = {}
-_NUMBER = F.regexp_extract("id", "([0-9]+)$", 1).cast("long")
 
 
 def _shifted(days: int) -> Column:
@@ -40,7 +39,7 @@ def _kinds(spark: SparkSession, sf: str) -> DataFrame:
     events = spark.read.parquet(f"{sf}/events.parquet")
     number = F.get_json_object("props", "$.k").cast("int")
     kinds = events.select(F.col("event_id").alias("number"), F.col("event_type").alias("kind"), number.alias("k"))
-    return stage.resource(spark, sf, "Observation").withColumn("number", _NUMBER).join(kinds, "number")
+    return stage.resource(spark, sf, "Observation").withColumn("number", F.regexp_extract("id", "([0-9]+)$", 1).cast("long")).join(kinds, "number")
 
 
 def increments(spark: SparkSession, sf: str) -> list[DataFrame]:
