@@ -19,15 +19,18 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import compress, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
-import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -39,8 +42,9 @@ from carelake.llm.common import Scratch
 # Fixed values of the zstandard formats.
 TABLE_MAGIC, SEEK_MAGIC, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES = 1 << 17
+GROUP_CHARS = 1 << 22  # of texts that are encoded together
 # Characters whose normalisation, case and class are the same in any Unicode version.
-PLAIN = regex.compile("[!-~¡-ÿ]*")
+PLAIN = re.compile("[!-~¡-ÿ]*")
 _encoders: dict[str, Encoder] = {}
 
 
@@ -54,7 +58,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, most_words: int = 300_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as file:
             self.tokenizer = Tokenizer.from_str(text := file.read())
@@ -64,6 +68,11 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
         self.pattern = _word_pattern(config)
+        if self.pattern:  # the same model without steps that leave plain lower-cased words as they are
+            own = config["pre_tokenizer"]["pretokenizers"][1]
+            bytewise = pre_tokenizers.ByteLevel(add_prefix_space=own["add_prefix_space"], use_regex=own["use_regex"])
+            self.cut = Tokenizer(self.tokenizer.model)
+            self.cut.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
         suffix = config["model"].get("end_of_word_suffix")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if self.pattern and suffix:
@@ -74,19 +83,36 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes."""
         out: list[bytes | None] = [None] * len(texts)
-        chunks = {k: t.split() for k, t in enumerate(texts) if self.pattern and not any(x in t for x in self.whole)}
+        apart = [k for k, t in enumerate(texts) if self.pattern and not any(x in t for x in self.whole)]
+        if apart:
+            for k, ids in zip(apart, self._by_chunk(pa.array([texts[k] for k in apart], pa.large_string()))):
+                out[k] = ids
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, ids in zip(rest, self._encoded([texts[k] for k in rest])):
+            out[k] = ids
+        return out
+
+    def _by_chunk(self, texts: pa.Array) -> list[bytes]:
+        """Ids of texts that fall apart at white space: each distinct chunk is looked up once, its ids are laid out by position."""
         if len(self.cache) > self.most:
             self.cache.clear()
         if len(self.words) > self.most:
             self.words.clear()
-        missing = list(set().union(*chunks.values()).difference(self.cache))
+        self.cache[""] = self.words[" "] = b""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        missing = list(filterfalse(self.cache.__contains__, chunks))
         self.cache.update(zip(missing, self._chunks(missing)))
-        for k, found in chunks.items():
-            out[k] = b"".join(map(self.cache.__getitem__, found))
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, ids in zip(rest, self._encoded([texts[k] for k in rest])):
-            out[k] = ids
-        return out
+        held = list(map(self.cache.__getitem__, chunks))
+        ids = np.frombuffer(b"".join(held), self.kind)
+        size = np.fromiter(map(len, held), np.int64, len(held)) // ids.itemsize
+        which = coded.indices.to_numpy()
+        start, size = (np.cumsum(size) - size)[which], size[which]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        data = ids[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])].tobytes()
+        ends = (upto[split.offsets.to_numpy() - split.offsets[0].as_py()] * ids.itemsize).tolist()
+        return [data[lo:hi] for lo, hi in zip(ends, ends[1:])]
 
     def forget(self) -> None:
         """Drop the caches; a worker process outlives its task and should not keep their memory."""
@@ -94,18 +120,24 @@ class Encoder:
         self.words.clear()
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of texts without white space."""
-        out: list[bytes | None] = [None] * len(chunks)
-        words = {k: self.pattern.findall(c.lower()) for k, c in enumerate(chunks) if PLAIN.fullmatch(c)}
-        missing = list(set().union(*words.values()).difference(self.words))
+        """Ids of texts without white space; the plain ones are cut into words together, blanks between them."""
+        fit = [PLAIN.fullmatch(c) is not None for c in chunks]
+        plain = iter(self._plain(list(compress(chunks, fit))))
+        rest = iter(self._encoded([c for c, ok in zip(chunks, fit) if not ok]))
+        return [next(plain if ok else rest) for ok in fit]
+
+    def _plain(self, chunks: list[str]) -> list[bytes]:
+        if not chunks:
+            return []
+        words = self.pattern.findall(" ".join(chunks).lower())
+        missing = list(set(filterfalse(self.words.__contains__, words)))
         if missing:
             self.words.update(zip(missing, self._missing(missing)))
-        for k, found in words.items():
-            out[k] = b"".join([self.words[w] for w in found])
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, ids in zip(rest, self._encoded([chunks[k] for k in rest])):
-            out[k] = ids
-        return out
+        ids = list(map(self.words.__getitem__, words))
+        upto = np.cumsum(list(map(len, ids)))
+        ends = [*upto[[k for k, w in enumerate(words) if w == " "]].tolist(), int(upto[-1])]
+        data = b"".join(ids)
+        return [data[lo:hi] for lo, hi in zip([0, *ends], ends)]
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
@@ -114,7 +146,7 @@ class Encoder:
         return np.asarray(ids, self.kind).tobytes()
 
     def _missing(self, words: list[str]) -> list[bytes]:
-        data = self._encoded([" ".join(words)])[0]
+        data = self._bytes(self.cut.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids)
         ends = (np.flatnonzero(self.ends[np.frombuffer(data, self.kind)]) + 1) * np.dtype(self.kind).itemsize
         if len(ends) == len(words) and ends[-1] == len(data):
             ends = ends.tolist()
@@ -123,11 +155,16 @@ class Encoder:
 
 
 def _word_pattern(config: dict):
-    """Splitting pattern of a tokenizer that works word by word, else None."""
+    """Splitting pattern, for plain characters and blanks, of a tokenizer that works word by word, else None."""
     kinds = [x["type"] for x in (config.get("normalizer") or {}).get("normalizers", [])]
     parts = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
     if kinds == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in parts] == ["Split", "ByteLevel"] and parts[0]["invert"]:
-        return regex.compile(parts[0]["pattern"]["Regex"])
+        pattern = parts[0]["pattern"]["Regex"]
+        for kind in "LN":
+            members = [c for c in map(chr, range(0x21, 0x100)) if unicodedata.category(c)[0] == kind]
+            pattern = pattern.replace(f"\\p{{{kind}}}", "".join(members))
+        if "\\p" not in pattern:
+            return re.compile(f"{pattern}| ")
     return None
 
 
@@ -245,8 +282,10 @@ def _write(folder: str, tokenizer: str, end_id: int):
         name, writer, out = f"shard-{shard:06d}-{uuid.uuid4().hex[:12]}.zst", None, None
         end = np.array([end_id], codec.kind).tobytes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                part = batch.slice(lo, 128)
+            upto = np.cumsum(pc.fill_null(pc.utf8_length(batch["text"]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            bounds = np.flatnonzero(np.diff(upto // GROUP_CHARS, prepend=-1))
+            for lo, hi in zip(bounds.tolist(), [*bounds[1:].tolist(), batch.num_rows]):
+                part = batch.slice(lo, hi - lo)
                 if writer is None and part.num_rows:
                     out = system.open_output_stream(f"{inner}/{name}", compression=None)
                     writer = ShardWriter(out, codec.kind)
