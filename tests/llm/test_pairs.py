@@ -86,6 +86,41 @@ def test_near_copies_stage_equals_brute_force(spark, make_docs):
     assert corpus_pipeline.drop_near_copies(spark, make_docs((None, "x y"), (None, "x y")), SF).count() == 1
 
 
+def test_near_copies_of_hot_keys_and_odd_rows(spark, make_docs):
+    """Texts that share a key with the first class but are not like it, over several blocks; very long, repeated and clashing rows."""
+    from carelake.llm import near_copies
+
+    base = text_of(77, 400).split()
+    rows = [(1, "same id one two three four five"), (1, "same id but another text altogether here"), (2, "twice told tale of old"), (2, "twice told tale of old")]
+    for family in range(12):  # families of one base: near within, not across
+        words = list(base)
+        for k in range(family * 3, 400, 60):
+            words[k] = f"f{family}k{k}"
+        for copy in range(5):
+            changed = list(words)
+            changed[40 + copy] = f"c{copy}"
+            rows.append((100 + family * 10 + copy, " ".join(changed)))
+    long = text_of(5, 20_000)
+    rows += [(900, long), (901, long + " end"), (None, "twice told tale of old"), (None, "only nameless rows in here"), (None, "Only nameless rows in here")]
+    sets, ids = [], []
+    for i, t in rows:
+        words = t.lower().split()
+        sets.append({tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))})
+        ids.append(i)
+    linked = [[a == b or len(a & b) >= 0.8 * len(a | b) for b in sets] for a in sets]
+    label = components(list(range(len(rows))), linked)
+    want = []
+    for root in sorted(set(label)):
+        members = [ids[k] for k in range(len(rows)) if label[k] == root]
+        want.append(min((m for m in members if m is not None), default=None))
+    docs = make_docs(*rows, clashing=True)
+    for chunk in (4, 256):
+        got = [r["doc_id"] for r in near_copies.drop(docs, chunk=chunk).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert near_copies.drop(make_docs()).count() == 0
+    assert near_copies.drop(docs).columns == docs.columns
+
+
 def test_hot_block_keeps_all_links(spark):
     """A dense group over several chunks is one component, found without its pairs."""
     rng = np.random.default_rng(0)
