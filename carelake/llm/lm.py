@@ -1,21 +1,31 @@
 """Scores of texts under a log-bilinear neural model and under a unigram base.
 
 Tokens are words (A-Z lower-cased, cut at ASCII white space) and one end token a
-text.  The model gives P(word | context) = P(class | context) * P(word | class).
-The ``top`` most frequent words and the end are classes of their own; all other
-words, seen or not, fall into classes by their last letters.  Class given context
-is log-bilinear: the six classes before, each with its embedding scaled for its
-position, predict a vector, whose products with the class vectors, plus biases,
-are normalised over all classes (batched matrix products).  It is trained in
-numpy by noise-contrastive estimation; biases start at the class frequencies, so
-the untrained model is a class unigram.  Word given class is the smoothed count
-(c + 1) over its class's sum, which keeps one count for unseen words.
+text.  The model gives P(word | context) = P(class | context) * P(word | class,
+context), and both factors are log-bilinear: the embeddings of the six words
+before, each scaled for its position, add up to a vector, whose products with the
+class vectors, plus biases, are normalised over all classes, and whose products
+with the vectors of the words of one class are normalised within it (batched matrix
+products).  Words are classed by their rank: the most frequent ones and the end are
+classes of their own, later ones share classes that get larger with the rank.  With
+H words there are about sqrt(H) classes, so classes, embeddings and word vectors
+grow with the vocabulary.  Words beyond the ``head`` most frequent ones, seen or
+not, are classed by their last letters; within such a class the chance of a word
+is its smoothed count (c + 1) over the class's sum, which keeps one count for
+unseen words.
+
+Training is noise-contrastive estimation in numpy on every position of every
+training text: noise classes come from the class counts and are shared by a batch,
+noise words from the class of the word, evenly.  Vectors start at zero and biases
+at the logarithms of frequencies, so the untrained model is a unigram model.
 
 Work on Spark: word counts over all training texts (summed before the shuffle);
-training on every partition from the same start, with ``rate`` of all positions
-of every training text, averaged in two steps, ``rounds`` times; one scoring pass.
-The ``head`` most frequent words travel with the scoring tasks (the bound of what
-is broadcast); counts of all other words reach the texts by a join on the word.
+word ids of every text written once, which training and scoring read; training on
+every partition from the same start, whose rows are averaged by how often each was
+used, in blocks of rows, so that the tasks send what they touched and the driver
+gets one model; one scoring pass.  The ``head`` most frequent words and their
+vectors travel with the tasks (the bound of what is broadcast); counts of all other
+words reach the texts by a join on the word.
 
 Defined results: null and empty texts are the end token alone; without training
 texts every base score is 0 and the model is uniform over classes; rows are
@@ -37,29 +47,34 @@ from pyspark.sql import functions as F
 from carelake.llm.common import Scratch
 
 ORDER = 6
-LETTERS = 128  # classes by last letters
+LETTERS = 64  # classes by last letters
+ROWS = 2048  # rows of a block of parameters
 _MARKS = b".,;:!?*#%&$()\"'|-"
 
 
+class Ids(dict):
+    """Ids of words: 0 is the end, 1 to H the frequent words, then the classes by last letters."""
+
+    def __missing__(self, word: bytes) -> int:
+        return len(self) + 1 + zlib.crc32((word.rstrip(_MARKS) or word)[-3:]) % LETTERS
+
+
 class Vocabulary(NamedTuple):
-    words: dict[bytes, int]  # frequent words: position in the arrays
-    classes: np.ndarray
-    logs: np.ndarray  # log10(count + 1)
-    top: int
+    ids: Ids
+    counts: np.ndarray  # of the ids 0 to H
+    classes: np.ndarray  # class of every id
+    start: np.ndarray  # first id of a class
+    size: np.ndarray  # number of ids of a class
     total: int  # N
     distinct: int  # V
     texts: int
 
 
 class Model(NamedTuple):
-    context: np.ndarray  # class x dim
+    context: np.ndarray  # id x dim
     position: np.ndarray  # order x dim
-    target: np.ndarray  # class x dim
-    bias: np.ndarray
-
-
-def letter_class(word: bytes, top: int) -> int:
-    return 1 + top + zlib.crc32((word.rstrip(_MARKS) or word)[-3:]) % LETTERS
+    word: np.ndarray  # id x (dim + bias)
+    target: np.ndarray  # class x (dim + bias)
 
 
 def _counted(batches):
@@ -91,217 +106,305 @@ def _most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
-def vocabulary(counts: DataFrame, texts: int, head: int, top: int) -> Vocabulary:
+def class_starts(words: int) -> np.ndarray:
+    """First ids of the classes of ``words`` ranked words and of the end: single ones, then ever larger ones."""
+    half = int(np.ceil(np.sqrt(words) / 2))
+    single = min(words, half)
+    shared = single + 1 + np.round((words - single) * (np.arange(half) / max(half, 1)) ** 2)
+    return np.unique(np.concatenate([np.arange(single + 1), shared[shared <= words]]).astype(np.int64))
+
+
+def vocabulary(counts: DataFrame, texts: int, head: int) -> Vocabulary:
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     frequent = _most_frequent(counts, head)
-    classes = [1 + k if k < top else letter_class(w, top) for k, (w, _) in enumerate(frequent)]
-    logs = [np.log10(c + 1) for _, c in frequent]
-    # position 0 is the end token, class 0
-    return Vocabulary({w: 1 + k for k, (w, _) in enumerate(frequent)}, np.array([0, *classes], np.int32),
-                      np.array([np.log10(texts + 1), *logs]), top, (sums["n"] or 0) + texts, sums["v"] + (texts > 0), texts)
+    start = np.concatenate([class_starts(len(frequent)), len(frequent) + 1 + np.arange(LETTERS)])
+    size = np.diff(np.append(start, len(frequent) + 1 + LETTERS))
+    return Vocabulary(Ids((w, 1 + k) for k, (w, _) in enumerate(frequent)), np.array([texts, *[c for _, c in frequent]], np.int64),
+                      np.repeat(np.arange(len(start)), size).astype(np.int32), start, size,
+                      (sums["n"] or 0) + texts, sums["v"] + (texts > 0), texts)
 
 
-def class_sums(counts: DataFrame, vocab: Vocabulary) -> np.ndarray:
-    """Sum of (count + 1) per class, with one unseen slot per class by letters."""
-    words, classes, top = vocab.words, vocab.classes, vocab.top
+def letter_sums(counts: DataFrame, vocab: Vocabulary) -> np.ndarray:
+    """Sum of (count + 1) per class by last letters, with one unseen slot each."""
+    ids, first = vocab.ids, len(vocab.counts)
 
     def summed(batches):
         for batch in batches:
-            c = batch["c"].to_numpy() + 1
-            own = [classes[words[w]] if w in words else letter_class(w, top) for w in batch["word"].to_pylist()]
-            sums = np.bincount(np.array(own, np.int64), c, 1 + top + LETTERS)
+            own = np.fromiter(map(ids.__getitem__, batch["word"].to_pylist()), np.int64, batch.num_rows) - first
+            sums = np.bincount(own[own >= 0], batch["c"].to_numpy()[own >= 0] + 1, LETTERS)
             where = np.flatnonzero(sums)
             yield pa.RecordBatch.from_pydict({"k": pa.array(where, pa.int32()), "z": pa.array(sums[where].astype(np.int64))})
 
-    out = np.concatenate([[vocab.texts + 1.0], np.zeros(top), np.ones(LETTERS)])
+    out = np.ones(LETTERS)
     for r in counts.mapInArrow(summed, "k int, z long").groupBy("k").agg(F.sum("z").alias("z")).collect():
         out[r["k"]] += r["z"]
     return out
 
 
-def first_model(sums: np.ndarray, dim: int = 16, seed: int = 0) -> Model:
-    random = np.random.default_rng(seed)
-    shape = (len(sums), dim)
-    bias = np.where(sums > 0, np.log(np.maximum(sums, 1e-9) / sums.sum()), -30.0)
-    return Model(random.normal(0, 0.3, shape).astype(np.float32), np.full((ORDER, dim), 1.0 / ORDER, np.float32),
-                 random.normal(0, 0.05, shape).astype(np.float32), bias.astype(np.float32))
+def first_model(vocab: Vocabulary, letters: np.ndarray, dim: int = 16, seed: int = 0) -> tuple[Model, np.ndarray]:
+    """The unigram model, and the chance of every class."""
+    weight = np.concatenate([vocab.counts + 1.0, letters])
+    sums = np.add.reduceat(weight, vocab.start)
+    random, ids = np.random.default_rng(seed), len(weight)
+    word, target = np.zeros((ids, dim + 1), np.float32), np.zeros((len(sums), dim + 1), np.float32)
+    word[:, dim], target[:, dim] = np.log(weight / sums[vocab.classes]), np.log(sums / sums.sum())
+    context = random.normal(0, 0.3, (ids, dim)).astype(np.float32)
+    context[0] = 0
+    return Model(context, np.full((ORDER, dim), 1.0 / ORDER, np.float32), word, target), sums / sums.sum()
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _added(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct entries of ``index``, how often each occurs and the sums of their rows."""
+    order = np.argsort(index, kind="stable")
+    ordered = index[order]
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[starts], np.diff(np.append(starts, len(index))), np.add.reduceat(rows[order], starts)
+
+
+def vectors(model: Model, parts: np.ndarray) -> np.ndarray:
+    """Context vectors, with a one for the bias, of the positions after the first ORDER ones of embeddings ``parts``."""
+    n = len(parts) - ORDER
+    out = np.ones((n, parts.shape[1] + 1), np.float32)
+    own = out[:, :-1]
+    own[:] = parts[ORDER - 1:ORDER - 1 + n] * model.position[0]
+    for k in range(2, ORDER + 1):
+        own += parts[ORDER - k:ORDER - k + n] * model.position[k - 1]
+    return out
+
+
 class Trainer:
-    """Noise-contrastive estimation with Adagrad steps; the noise of a batch is shared."""
-
-    def __init__(self, model: Model, sums: np.ndarray, noise: int = 64, step: float = 0.08, seed: int = 0):
-        self.p = [x.astype(np.float64) for x in model]
-        self.square = [np.full_like(x, 0.05) for x in self.p]
-        self.chance = sums / sums.sum()
-        self.upto = np.cumsum(self.chance)
-        self.noise, self.step, self.random, self.seen = noise, step, np.random.default_rng(seed), 0
-
-    def batch(self, before: np.ndarray, word: np.ndarray) -> None:
-        """One step on contexts (rows of ORDER classes) and the classes that follow."""
-        context, position, target, bias = self.p
-        n, classes = len(word), len(bias)
-        drawn = np.minimum(np.searchsorted(self.upto, self.random.random(self.noise)), classes - 1)
-        parts = context[before]
-        vector = np.einsum("nkd,kd->nd", parts, position)
-        log_noise = np.log(self.noise * self.chance + 1e-30)
-        good = np.einsum("nd,nd->n", vector, target[word]) + bias[word] - log_noise[word]
-        bad = vector @ target[drawn].T + bias[drawn] - log_noise[drawn]
-        g, b = (_sigmoid(good) - 1) / n, _sigmoid(bad) / n
-        d_vector = g[:, None] * target[word] + b @ target[drawn]
-        d_target, d_bias, d_context = np.zeros_like(target), np.zeros_like(bias), np.zeros_like(context)
-        np.add.at(d_target, word, g[:, None] * vector)
-        np.add.at(d_target, drawn, b.T @ vector)
-        d_bias += np.bincount(word, g, classes) + np.bincount(drawn, b.sum(axis=0), classes)
-        for k in range(ORDER):
-            np.add.at(d_context, before[:, k], d_vector * position[k])
-        d_position = np.einsum("nkd,nd->kd", parts, d_vector)
-        for x, s, d in zip(self.p, self.square, (d_context, d_position, d_target, d_bias)):
-            d *= np.sqrt(n)
-            s += d * d
-            x -= self.step * d / np.sqrt(s)
-        self.seen += n
-
-    def model(self) -> Model:
-        return Model(*[x.astype(np.float32) for x in self.p])
-
-
-def _flat(model: Model) -> np.ndarray:
-    return np.concatenate([x.ravel() for x in model]).astype(np.float64)
-
-
-def _unflat(values: np.ndarray, like: Model) -> Model:
-    parts = np.split(values, np.cumsum([x.size for x in like])[:-1])
-    return Model(*[p.reshape(x.shape).astype(np.float32) for p, x in zip(parts, like)])
-
-
-def train(texts: DataFrame, vocab: Vocabulary, sums: np.ndarray, model: Model, rate: float, turn: int) -> Model:
-    """One round: every partition trains from ``model`` on its share of positions; the results are averaged."""
-    words, classes, top = vocab.words, vocab.classes, vocab.top
-
-    def class_of(word: bytes) -> int:
-        k = words.get(word)
-        return letter_class(word, top) if k is None else int(classes[k])
+    """Noise-contrastive estimation with Adagrad steps over a sequence of word ids."""
+
+    def __init__(self, model: Model, vocab: Vocabulary, chance: np.ndarray, noise: int = 64, inner: int = 6, step: float = 0.1, seed: int = 0):
+        self.model = Model(*[x.copy() for x in model])
+        self.square = [np.ones(len(x), np.float32) for x in model]
+        self.used = [np.zeros(len(x)) for x in model]
+        self.classes, self.start, self.size, self.known = vocab.classes, vocab.start, vocab.size, len(vocab.counts)
+        self.log_chance, self.upto = np.log(noise * chance).astype(np.float32), np.cumsum(chance)
+        self.log_even = np.log(inner / np.maximum(self.size, 1)).astype(np.float32)
+        self.noise, self.inner, self.step, self.random, self.seen = noise, inner, step, np.random.default_rng(seed), 0
+
+    def _update(self, k: int, index: np.ndarray, times: np.ndarray, slope: np.ndarray) -> None:
+        square = self.square[k][index] + np.square(slope).mean(axis=1)
+        self.square[k][index] = square
+        self.model[k][index] -= self.step * slope / np.sqrt(square)[:, None]
+        self.used[k][index] += times
+
+    def batch(self, ids: np.ndarray, wanted: np.ndarray) -> None:
+        """One step on the positions after the first ORDER ones of ``ids``, as far as ``wanted``."""
+        context, position, word, target = self.model
+        n, parts = len(wanted), context[ids]
+        given = vectors(self.model, parts)
+        at = np.flatnonzero(wanted)
+        vector, next_id = given[at], ids[ORDER:][at]
+        kind = self.classes[next_id]
+        drawn = np.minimum(np.searchsorted(self.upto, self.random.random(self.noise)), len(target) - 1)
+        other = target[drawn]
+        good = _sigmoid(np.einsum("nd,nd->n", vector, target[kind]) - self.log_chance[kind]) - 1
+        bad = _sigmoid(vector @ other.T - self.log_chance[drawn])
+        slope = good[:, None] * target[kind] + bad @ other
+        found = [(3, *_added(np.concatenate([kind, drawn]), np.concatenate([good[:, None] * vector, bad.T @ vector])))]
+        within = np.flatnonzero((self.size[kind] > 1) & (next_id < self.known))
+        if len(within):
+            own, c = vector[within], kind[within]
+            drawn = self.start[c][:, None] + (self.random.random((len(c), self.inner), np.float32) * self.size[c][:, None]).astype(np.int64)
+            names = np.concatenate([next_id[within][:, None], np.minimum(drawn, (self.start + self.size - 1)[c][:, None])], axis=1)
+            held = word[names]
+            gain = _sigmoid(np.einsum("nd,nkd->nk", own, held) - self.log_even[c][:, None])
+            gain[:, 0] -= 1
+            slope[within] += np.einsum("nk,nkd->nd", gain, held)
+            found.append((2, *_added(names.ravel(), (gain[:, :, None] * own[:, None, :]).reshape(-1, own.shape[1]))))
+        back = np.zeros((n, parts.shape[1]), np.float32)
+        back[at] = slope[:, :-1]
+        of_parts, of_position = np.zeros_like(parts), np.empty_like(position)
+        for k in range(1, ORDER + 1):
+            of_parts[ORDER - k:ORDER - k + n] += back * position[k - 1]
+            of_position[k - 1] = np.einsum("nd,nd->d", back, parts[ORDER - k:ORDER - k + n])
+        index, times, rows = _added(ids, of_parts)
+        found.append((0, index[index > 0], times[index > 0], rows[index > 0]))  # the end and what precedes a text stay zero
+        found.append((1, np.arange(ORDER), np.full(ORDER, len(at)), of_position))
+        for k, index, times, rows in found:
+            self._update(k, index, times, rows)
+        self.seen += len(at)
+
+    def blocks(self):
+        """Used rows, multiplied by their use, in blocks: table, first row, rows, uses, values."""
+        for k, (values, used) in enumerate(zip(self.model, self.used)):
+            for lo in range(0, len(values), ROWS):
+                rows = np.flatnonzero(used[lo:lo + ROWS])
+                if len(rows):
+                    n = used[lo:lo + ROWS][rows]
+                    yield k, lo, rows.astype(np.int32), n, (values[lo:lo + ROWS][rows] * n[:, None]).astype(np.float64)
+
+
+def _sequence(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts end to end, ORDER zeros before each (the end of the last one included), and which positions are tokens."""
+    pad = np.zeros(ORDER - 1, np.int32)
+    ids = np.concatenate([np.zeros(1, np.int32), *[x for text in texts for x in (pad, text)]])
+    wanted = np.ones(len(ids), bool)
+    starts = 1 + np.cumsum([0, *[len(text) + ORDER - 1 for text in texts[:-1]]])
+    wanted[(starts[:, None] + np.arange(ORDER - 1)).ravel()] = False
+    return ids, wanted[ORDER:]
+
+
+def _texts(batch: pa.RecordBatch, rows: int = 256):
+    for lo in range(0, batch.num_rows, rows):
+        yield lo, [np.frombuffer(x.as_buffer(), "<i4") for x in batch["ids"].slice(lo, rows)]
+
+
+BLOCK = "part int, first int, rows binary, used binary, values binary"
+
+
+def _block(part: int, first: int, rows: np.ndarray, used: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([first], pa.int32()),
+                                       *[pa.array([x.tobytes()], pa.binary()) for x in (rows, used, values)]], names=["part", "first", "rows", "used", "values"])
+
+
+def train(encoded: DataFrame, vocab: Vocabulary, chance: np.ndarray, model: Model, turn: int = 0, batch_size: int = 1024) -> tuple[Model, int]:
+    """One round over every position of ``encoded`` (column ``ids``): the averaged model and the number of positions seen."""
+    widths = [x.shape[1] for x in model]
 
     def local(batches):
-        trainer, before, after = Trainer(model, sums, seed=turn), [], []
+        trainer = Trainer(model, vocab, chance, seed=turn)
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                w = text.lower().split()
-                random = np.random.default_rng([turn, len(w), zlib.crc32(text)])
-                for t in np.flatnonzero(random.random(len(w) + 1) < rate).tolist():
-                    before.append([class_of(w[t - k]) if t >= k else 0 for k in range(1, ORDER + 1)])
-                    after.append(class_of(w[t]) if t < len(w) else 0)
-                    if len(after) == 512:
-                        trainer.batch(np.array(before), np.array(after))
-                        before, after = [], []
-        if after:
-            trainer.batch(np.array(before), np.array(after))
-        if trainer.seen:
-            yield _weighed(_flat(trainer.model()) * trainer.seen, trainer.seen)
+            for _, texts in _texts(batch):
+                ids, wanted = _sequence(texts)
+                for lo in range(0, len(wanted), batch_size):
+                    if wanted[lo:lo + batch_size].any():
+                        trainer.batch(ids[lo:lo + batch_size + ORDER], wanted[lo:lo + batch_size])
+        for block in trainer.blocks():
+            yield _block(*block)
 
     def added(batches):
-        total, seen = 0.0, 0
+        held: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for values, n in zip(batch["values"].to_pylist(), batch["n"].to_pylist()):
-                total, seen = total + np.frombuffer(values), seen + n
-        if seen:
-            yield _weighed(total, seen)
-
-    found = texts.select("text").mapInArrow(local, "values binary, n long")
-    found = found.repartition(16).mapInArrow(added, "values binary, n long").collect()  # at most 16 vectors
-    if not found:
-        return model
-    return _unflat(sum(np.frombuffer(r["values"]) for r in found) / sum(r["n"] for r in found), model)
-
-
-def _weighed(values: np.ndarray, n: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"values": pa.array([values.tobytes()], pa.binary()), "n": pa.array([n], pa.int64())})
-
-
-def log_chances(model: Model, classes: np.ndarray, rows: int = 4096) -> np.ndarray:
-    """log10 P(class | six classes before) for each position of a run that starts with ORDER zeros."""
-    n = len(classes) - ORDER
-    out = np.empty(n)
-    scaled = [model.context * p for p in model.position]
-    weights = np.ascontiguousarray(model.target.T)
-    for lo in range(0, n, rows):
-        hi = min(n, lo + rows)
-        vector = np.zeros((hi - lo, model.context.shape[1]), np.float32)
-        for k in range(1, ORDER + 1):
-            vector += scaled[k - 1][classes[ORDER + lo - k:ORDER + hi - k]]
-        logits = vector @ weights
-        logits += model.bias
-        own = logits[np.arange(hi - lo), classes[ORDER + lo:ORDER + hi]]
-        most = logits.max(axis=1, keepdims=True)
-        logits -= most
-        np.exp(logits, out=logits)
-        out[lo:hi] = own - most[:, 0] - np.log(logits.sum(axis=1, dtype=np.float64))
+            for part, first, rows, used, values in zip(*[c.to_pylist() for c in batch.columns]):
+                if (part, first) not in held:
+                    held[part, first] = np.zeros(ROWS), np.zeros((ROWS, widths[part]))
+                rows = np.frombuffer(rows, np.int32)
+                held[part, first][0][rows] += np.frombuffer(used)
+                held[part, first][1][rows] += np.frombuffer(values).reshape(len(rows), -1)
+        for (part, first), (used, values) in held.items():
+            rows = np.flatnonzero(used)
+            yield _block(part, first, rows.astype(np.int32), used[rows], (values[rows] / used[rows][:, None]).astype(np.float32))
+
+    out, seen = Model(*[x.copy() for x in model]), 0
+    found = encoded.select("ids").mapInArrow(local, BLOCK).repartition("part", "first").mapInArrow(added, BLOCK)
+    for r in found.toLocalIterator():
+        rows = np.frombuffer(r["rows"], np.int32)
+        out[r["part"]][r["first"] + rows] = np.frombuffer(r["values"], np.float32).reshape(len(rows), -1)
+        if r["part"] == 1:  # every position uses the factors of all distances
+            seen = int(np.frombuffer(r["used"])[0])
+    return out, seen
+
+
+def _log_sums(logits: np.ndarray) -> np.ndarray:
+    most = logits.max(axis=1)
+    logits -= most[:, None]
+    np.exp(logits, out=logits)
+    return most + np.log(logits.sum(axis=1, dtype=np.float64))
+
+
+def log_chances(model: Model, vocab: Vocabulary, ids: np.ndarray, rows: int = 4096, piece: int = 1 << 17) -> np.ndarray:
+    """log10 of the chance of each id after the first ORDER ones; a class by last letters counts as one id."""
+    out = np.empty(len(ids) - ORDER)
+    for at in range(0, len(out), piece):
+        part = ids[at:at + piece + ORDER]
+        vector, own = vectors(model, model.context[part]), part[ORDER:]
+        kind, found = vocab.classes[own], out[at:at + piece]
+        for lo in range(0, len(own), rows):
+            logits = vector[lo:lo + rows] @ model.target.T
+            mine = logits[np.arange(len(logits)), kind[lo:lo + rows]].astype(np.float64)
+            found[lo:lo + rows] = mine - _log_sums(logits)
+        inner = np.flatnonzero(vocab.size[kind] > 1)
+        inner = inner[np.argsort(kind[inner], kind="stable")]
+        for same in np.split(inner, np.flatnonzero(np.diff(kind[inner])) + 1) if len(inner) else []:
+            first = int(vocab.start[kind[same[0]]])
+            words = model.word[first:first + int(vocab.size[kind[same[0]]])]
+            for lo in range(0, len(same), rows):
+                some = same[lo:lo + rows]
+                logits = vector[some] @ words.T
+                mine = logits[np.arange(len(some)), own[some] - first].astype(np.float64)
+                found[some] += mine - _log_sums(logits)
     return out / np.log(10)
 
 
-SCORED = pa.schema([("uid", pa.int64()), ("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()),
-                    ("logs", pa.float64()), ("model", pa.float64()), ("rare", pa.list_(pa.binary())), ("times", pa.list_(pa.int32()))])
+ENCODED = ("uid long, id long, held_out boolean, n_tokens long, known long, logs double, ids binary, rare array<binary>, times array<int>")
 
 
-def _scored(vocab: Vocabulary, sums: np.ndarray, model: Model):
-    words, top = vocab.words, vocab.top
-    log_sums = np.log10(np.maximum(sums, 1))
+def _encoded(vocab: Vocabulary):
+    """Ids of a text's words (four bytes each, little-endian, the end last) and its words beyond the frequent ones."""
+    ids, first = vocab.ids, len(vocab.counts)
+    logs = np.log10(vocab.counts + 1.0)
+    fields = ["uid", "id", "held_out", "n_tokens", "known", "logs", "ids", "rare", "times"]
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())]
 
     def run(batches):
         uid = TaskContext.get().partitionId() << 36
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                out: dict[str, list] = {f.name: [] for f in SCORED}
+                part, out = batch.slice(lo, 256), []
                 for doc_id, text, held in zip(part["id"].to_pylist(), part["text"].to_pylist(), part["held_out"].to_pylist()):
-                    tokens = text.lower().split()
-                    at = np.array([words.get(w, -1) for w in tokens] + [0])
-                    rare = [tokens[k] for k in np.flatnonzero(at < 0).tolist()]
-                    classes = np.zeros(ORDER + len(at), np.int32)
-                    classes[ORDER:] = vocab.classes[at]
-                    classes[ORDER:][at < 0] = [letter_class(w, top) for w in rare]
-                    chances = log_chances(model, classes)
-                    seen = Counter(rare)
-                    own = at[at >= 0]
-                    for name, value in zip(out, (uid, doc_id, held, len(at), len(own) - (vocab.texts == 0), float(vocab.logs[own].sum()),
-                                                 float(chances.sum() - log_sums[classes[ORDER:]].sum()), list(seen), list(seen.values()))):
-                        out[name].append(value)
+                    words = text.lower().split()
+                    own = np.zeros(len(words) + 1, "<i4")
+                    own[:-1] = np.fromiter(map(ids.__getitem__, words), "<i4", len(words))
+                    rare = Counter([words[k] for k in np.flatnonzero(own >= first).tolist()])
+                    frequent = own[own < first]
+                    out.append((uid, doc_id, held, len(own), len(frequent) - (vocab.texts == 0), float(logs[frequent].sum()),
+                                own.tobytes(), list(rare), list(rare.values())))
                     uid += 1
-                yield pa.RecordBatch.from_pydict(out, schema=SCORED)
+                yield pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in zip(zip(*out), kinds)], names=fields)
+
+    return run
+
+
+def _scored(vocab: Vocabulary, letters: np.ndarray, model: Model):
+    """Adds ``model``, the log10 chance of the text without the counts of its words beyond the frequent ones."""
+    first, log_letters = len(vocab.counts), np.log10(letters)
+    fields = ["uid", "id", "held_out", "n_tokens", "known", "logs"]
+
+    def run(batches):
+        for batch in batches:
+            for lo, texts in _texts(batch):
+                ids, wanted = _sequence(texts)
+                chances = log_chances(model, vocab, ids)
+                own = ids[ORDER:]
+                chances[own >= first] -= log_letters[own[own >= first] - first]
+                chances[~wanted] = 0
+                starts = np.cumsum([0, *[len(text) + ORDER - 1 for text in texts[:-1]]])
+                part = batch.slice(lo, len(texts))
+                yield pa.RecordBatch.from_arrays([*[part[c] for c in fields], pa.array(np.add.reduceat(chances, starts))], names=[*fields, "model"])
 
     return run
 
 
-def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", head: int = 150_000, top: int = 127,
-          rate: float = 0.1, rounds: int = 2) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", head: int = 100_000, rounds: int = 1) -> DataFrame:
     """One row per document: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     scratch = Scratch(docs.sparkSession, "lm")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), held_out.alias("held_out"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     learn = rows.where(~F.col("held_out"))
     counts = scratch.save(word_counts(learn), "counts")
-    vocab = vocabulary(counts, learn.count(), head, top)
-    sums = class_sums(counts, vocab)
-    model = first_model(sums)
+    vocab = vocabulary(counts, learn.count(), head)
+    letters = letter_sums(counts, vocab)
+    model, chance = first_model(vocab, letters)
+    encoded = scratch.save(rows.select("id", "text", "held_out").mapInArrow(_encoded(vocab), ENCODED), "encoded")
     for turn in range(rounds if vocab.texts else 0):
-        model = train(learn, vocab, sums, model, rate, turn)
-    found = scratch.save(rows.select("id", "text", "held_out").mapInArrow(
-        _scored(vocab, sums, model),
-        "uid long, id long, held_out boolean, n_tokens long, known long, logs double, model double, rare array<binary>, times array<int>",
-    ), "scored")
-    rare = found.select("uid", F.explode(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times"))).alias("x"))
+        model, _ = train(encoded.where(~F.col("held_out")), vocab, chance, model, turn)
+    found = encoded.select("uid", "id", "held_out", "n_tokens", "known", "logs", "ids").mapInArrow(
+        _scored(vocab, letters, model), "uid long, id long, held_out boolean, n_tokens long, known long, logs double, model double")
+    rare = encoded.select("uid", F.explode(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times"))).alias("x"))
     rare = rare.select("uid", F.col("x.word").alias("word"), F.col("x.times").alias("times")).join(counts, "word")
     rare = rare.groupBy("uid").agg(F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("rare_logs"))
-    joined = found.drop("rare", "times").join(rare, "uid", "left")
-    logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
+    joined = found.join(rare, "uid", "left")
+    rare_logs = F.coalesce("rare_logs", F.lit(0.0))
     return joined.select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(vocab.total).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * F.lit(float(np.log10(vocab.total + vocab.distinct + 1)))).alias("base_score"),
-        (F.col("model") + logs).alias("score"),
+        (F.col("logs") + rare_logs - F.col("n_tokens") * F.lit(float(np.log10(vocab.total + vocab.distinct + 1)))).alias("base_score"),
+        (F.col("model") + rare_logs).alias("score"),
     )

@@ -39,7 +39,7 @@ def test_query_equals_its_sql(spark, con, name):
 
 def test_every_operator_is_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 # --- language model -------------------------------------------------------
@@ -59,14 +59,62 @@ def test_base_scores_are_exact_and_the_model_beats_them(spark):
         assert (r["held_out"], r["n_tokens"], r["train_tokens"]) == (held(r["doc_id"], 7, 2), len(words), total)
         assert r["n_known"] == sum(counts[w] > 0 for w in words) and r["base_score"] == pytest.approx(base, rel=1e-9)
     out = [r for r in got if r["held_out"]]
-    assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
-
-
-def test_class_chances_are_normalised():
-    model = lm.first_model(np.array([5.0, 9.0, 3.0, 2.0]), dim=4)
-    before = [1, 2, 3, 0, 1, 2]
-    chances = [10 ** lm.log_chances(model, np.array([*before, k], np.int32))[0] for k in range(4)]
-    assert sum(chances) == pytest.approx(1, abs=1e-5)
+    tokens = sum(r["n_tokens"] for r in out)
+    assert sum(r["score"] for r in out) / tokens > sum(r["base_score"] for r in out) / tokens + 0.03
+
+
+def small_vocabulary(counts, texts):
+    """Vocabulary of (word, count) in the order of ranks."""
+    start = np.concatenate([lm.class_starts(len(counts)), len(counts) + 1 + np.arange(lm.LETTERS)])
+    size = np.diff(np.append(start, len(counts) + 1 + lm.LETTERS))
+    return lm.Vocabulary(lm.Ids((w, 1 + k) for k, (w, _) in enumerate(counts)), np.array([texts, *[c for _, c in counts]]),
+                         np.repeat(np.arange(len(start)), size), start, size, texts + sum(c for _, c in counts), len(counts) + 1, texts)
+
+
+def test_classes_cover_every_word_and_grow_with_the_vocabulary():
+    for words in [*range(12), 100, 1000, 50_000]:
+        start = lm.class_starts(words)
+        assert start[0] == 0 and (np.diff(start) > 0).all() and start[-1] <= words and len(start) <= 2 + 1.1 * math.sqrt(words) + 1
+    assert len(lm.class_starts(50_000)) > 6 * len(lm.class_starts(1000)) > 36
+
+
+def trained(words=90, texts=40):
+    vocab = small_vocabulary([(b"w%d" % k, 200 - k) for k in range(words)], texts)
+    model, chance = lm.first_model(vocab, np.full(lm.LETTERS, 3.0), dim=8)
+    trainer = lm.Trainer(model, vocab, chance)
+    rng = np.random.default_rng(1)
+    rows = [np.append((rng.integers(0, 5) + np.arange(rng.integers(1, 60))) % (words + 3) + 1, 0).astype(np.int32) for _ in range(texts)]
+    ids, wanted = lm._sequence(rows)
+    for _ in range(60):
+        trainer.batch(ids, wanted)
+    return vocab, model, trainer, rows, ids, wanted
+
+
+def test_chances_of_the_whole_vocabulary_add_up_to_one():
+    vocab, _, trainer, rows, _, _ = trained()
+    longest = max(rows, key=len)
+    for before in (np.zeros(lm.ORDER, np.int32), longest[:lm.ORDER]):
+        chances = [10 ** lm.log_chances(trainer.model, vocab, np.append(before, k))[0] for k in range(len(vocab.classes))]
+        assert sum(chances) == pytest.approx(1, abs=1e-5)
+
+
+def test_training_raises_the_chance_of_what_follows_and_pieces_do_not_matter():
+    vocab, model, trainer, rows, ids, wanted = trained()
+    before, after = (lm.log_chances(m, vocab, ids)[wanted] for m in (model, trainer.model))
+    assert after.sum() > before.sum() + 0.2 * len(after)
+    alone = np.concatenate([lm.log_chances(trainer.model, vocab, np.append(np.zeros(lm.ORDER, np.int32), r)) for r in rows])
+    small = lm.log_chances(trainer.model, vocab, ids, rows=7, piece=50)[wanted]
+    assert after == pytest.approx(alone, abs=1e-4) and after == pytest.approx(small, abs=1e-4)
+
+
+def test_every_position_is_learnt_from(spark):
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(1, 20, n).astype("<i4") for n in (0, 1, 5, 6, 1023, 1024, 5000, *range(300))]
+    vocab = small_vocabulary([(b"w%d" % k, 50) for k in range(20)], len(texts))
+    model, chance = lm.first_model(vocab, np.ones(lm.LETTERS))
+    frame = spark.createDataFrame([(np.append(t, 0).astype("<i4").tobytes(),) for t in texts], "ids binary").repartition(3)
+    _, seen = lm.train(frame, vocab, chance, model)
+    assert seen == sum(len(t) + 1 for t in texts)
 
 
 def test_language_model_of_odd_rows(spark, make_docs):
