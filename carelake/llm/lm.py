@@ -16,7 +16,7 @@ unseen words.
 
 Training is noise-contrastive estimation in numpy on every position of every
 training text: noise classes come from the class counts and are shared by a batch,
-noise words from the class of the word, evenly.  Vectors start at zero and biases
+noise words evenly from the class of the word, shared by its positions in the batch.  Vectors start at zero and biases
 at the logarithms of frequencies, so the untrained model is a unigram model.
 
 Work on Spark: word counts over all training texts (summed before the shuffle);
@@ -179,7 +179,7 @@ def vectors(model: Model, parts: np.ndarray) -> np.ndarray:
 class Trainer:
     """Noise-contrastive estimation with Adagrad steps over a sequence of word ids."""
 
-    def __init__(self, model: Model, vocab: Vocabulary, chance: np.ndarray, noise: int = 64, inner: int = 6, step: float = 0.1, seed: int = 0):
+    def __init__(self, model: Model, vocab: Vocabulary, chance: np.ndarray, noise: int = 64, inner: int = 4, step: float = 0.1, seed: int = 0):
         self.model = Model(*[x.copy() for x in model])
         self.square = [np.ones(len(x), np.float32) for x in model]
         self.used = [np.zeros(len(x)) for x in model]
@@ -210,14 +210,19 @@ class Trainer:
         found = [(3, *_added(np.concatenate([kind, drawn]), np.concatenate([good[:, None] * vector, bad.T @ vector])))]
         within = np.flatnonzero((self.size[kind] > 1) & (next_id < self.known))
         if len(within):
-            own, c = vector[within], kind[within]
-            drawn = self.start[c][:, None] + (self.random.random((len(c), self.inner), np.float32) * self.size[c][:, None]).astype(np.int64)
-            names = np.concatenate([next_id[within][:, None], np.minimum(drawn, (self.start + self.size - 1)[c][:, None])], axis=1)
-            held = word[names]
-            gain = _sigmoid(np.einsum("nd,nkd->nk", own, held) - self.log_even[c][:, None])
-            gain[:, 0] -= 1
-            slope[within] += np.einsum("nk,nkd->nd", gain, held)
-            found.append((2, *_added(names.ravel(), (gain[:, :, None] * own[:, None, :]).reshape(-1, own.shape[1]))))
+            within = within[np.argsort(kind[within].astype(np.uint16), kind="stable")]
+            own, names, c = vector[within], next_id[within], kind[within]
+            first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(c))))
+            size = self.size[c[first]][:, None]
+            drawn = self.start[c[first]][:, None] + np.minimum((self.random.random((len(first), self.inner)) * size).astype(np.int64), size - 1)
+            good_held, bad_held = word[names], word[drawn]
+            good = _sigmoid(np.einsum("nd,nd->n", own, good_held) - self.log_even[c])[:, None] - 1
+            held = bad_held[group]
+            bad = _sigmoid(np.matmul(held, own[:, :, None])[:, :, 0] - self.log_even[c][:, None])
+            slope[within] += good * good_held + np.matmul(bad[:, None, :], held)[:, 0]
+            of_bad = np.add.reduceat((bad[:, :, None] * own[:, None, :]).reshape(len(c), -1), first).reshape(-1, own.shape[1])
+            found.append((2, *_added(np.concatenate([names, drawn.ravel()]), np.concatenate([good * own, of_bad]))))
         back = np.zeros((n, parts.shape[1]), np.float32)
         back[at] = slope[:, :-1]
         of_parts, of_position = np.zeros_like(parts), np.empty_like(position)
@@ -303,13 +308,16 @@ def train(encoded: DataFrame, vocab: Vocabulary, chance: np.ndarray, model: Mode
 
 
 def _log_sums(logits: np.ndarray) -> np.ndarray:
-    most = logits.max(axis=1)
-    logits -= most[:, None]
+    """Logarithm of the sum of exponentials of each row; overwrites ``logits``."""
+    most = np.zeros(len(logits), np.float32)
+    if max(logits.max(), -logits.min()) > 60:  # else neither overflows nor vanishes
+        most = logits.max(axis=1)
+        logits -= most[:, None]
     np.exp(logits, out=logits)
-    return most + np.log(logits.sum(axis=1, dtype=np.float64))
+    return most + np.log(logits.sum(axis=1).astype(np.float64))
 
 
-def log_chances(model: Model, vocab: Vocabulary, ids: np.ndarray, rows: int = 4096, piece: int = 1 << 17) -> np.ndarray:
+def log_chances(model: Model, vocab: Vocabulary, ids: np.ndarray, rows: int = 512, piece: int = 1 << 17) -> np.ndarray:
     """log10 of the chance of each id after the first ORDER ones; a class by last letters counts as one id."""
     out = np.empty(len(ids) - ORDER)
     for at in range(0, len(out), piece):
