@@ -86,6 +86,20 @@ def test_near_copies_stage_equals_brute_force(spark, make_docs):
     assert corpus_pipeline.drop_near_copies(spark, make_docs((None, "x y"), (None, "x y")), SF).count() == 1
 
 
+def test_near_copies_stage_takes_links_of_simhash(spark, make_docs):
+    """Copies that share no band are found by their fingerprints, also under one id, and unlike texts stay."""
+    import corpus_pipeline
+    from carelake.llm import near_copies
+
+    texts = [text_of(9000 + k, 400) for k in range(6)]
+    rows = [*enumerate(texts), (100, texts[0] + " more"), (1, texts[1] + " more"), (None, texts[2] + " more"), (200, ""), (201, None)]
+    docs, options = make_docs(*rows, clashing=True), {"bands": 1, "rows": 4000}
+    alone = near_copies.drop(docs, **options).count()
+    kept = near_copies.drop(docs, candidates=corpus_pipeline.simhash_keys(docs), **options)
+    assert (alone, sorted(r["doc_id"] for r in kept.collect())) == (10, [0, 1, 2, 3, 4, 5, 200])
+    assert [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, SF).select("doc_id").orderBy("doc_id").collect()] == [0, 1, 2, 3, 4, 5, 200]
+
+
 def test_near_copies_of_hot_keys_and_odd_rows(spark, make_docs):
     """Texts that share a key with the first class but are not like it, over several blocks; very long, repeated and clashing rows."""
     from carelake.llm import near_copies
