@@ -178,3 +178,65 @@ def test_marts_refreshed_by_touched_keys_equal_marts_built_anew(spark, tmp_path)
     written = touched.written(2, "fact_conditions")
     assert 0 < written.count() < marts["fact_conditions"].count() / 5
     assert not (tmp_path / "marts/fact_practitioners/commits/gen=2").exists()
+
+
+def _observation_tables(spark, resource_rows):
+    df = resource_rows("Observation", {
+        "id": "1", "status": "final", "subject": {"reference": "Patient/1"}, "valueString": "v", "effectiveDateTime": "2024-01-02T00:00:00Z",
+        "code": {"text": "t", "coding": [{"system": "http://loinc.org", "code": "9", "display": "d"}]}, "note": [{"text": "n"}],
+        "category": [{"coding": [{"system": facts.codes.OBSERVATION_CATEGORY, "code": "laboratory"}]}]},
+        {"id": "2", "status": "entered-in-error", "subject": {"reference": "Patient/1"}}, {"id": "3", "status": "final", "subject": {"reference": "Patient/2"}})
+    return tables(spark, **flatten_all(df, "Observation"))
+
+
+def test_children_that_are_not_read_are_not_nested(spark, resource_rows):
+    t = _observation_tables(spark, resource_rows)
+    narrow = facts.build("fact_observations", t, columns=("observation_id", "primary_code", "value_string"))
+    assert narrow.columns == ["observation_id", "primary_code", "value_string"]
+    assert [tuple(r) for r in sorted(narrow.collect())] == [("1", "9", "v"), ("3", None, None)]
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 1 and "AS notes" not in plan and "AS effective_datetime" not in plan
+
+
+def test_every_column_of_a_narrow_mart_is_that_of_the_whole_one(spark, resource_rows):
+    t = _observation_tables(spark, resource_rows)
+    whole = facts.build("fact_observations", t)
+    rows = {r["observation_id"]: r for r in whole.collect()}
+    assert set(facts.INPUTS["fact_observations"]) <= set(whole.columns)
+    for c in ("has_value", "observation_category", "codes", "code_count", "note_count", "notes", "effective_datetime"):
+        got = facts.build("fact_observations", t, columns=("observation_id", c))
+        assert got.schema[c].dataType == whole.schema[c].dataType
+        assert {r["observation_id"]: r[c] for r in got.collect()} == {k: r[c] for k, r in rows.items()}
+    other = {"fact_patients": "patient_id", "fact_conditions": "condition_id", "fact_medication_requests": "medication_request_id"}
+    staged = stage.Tables(spark, SF)
+    for mart, key in other.items():
+        whole = facts.build(mart, staged, stage.AS_OF).cache()
+        assert facts.build(mart, staged, stage.AS_OF, ("etl_updated_at",)).filter("etl_updated_at IS NULL").isEmpty()
+        inputs = {k: v for k, v in facts.INPUTS[mart].items() if not k.startswith("etl_")}  # the time of the run
+        for c in dict.fromkeys(inputs.values()):
+            columns = (key, *(k for k, v in inputs.items() if v == c))
+            got = facts.build(mart, staged, stage.AS_OF, columns)
+            assert got.exceptAll(whole.select(*columns)).count() == 0 and got.count() == whole.count(), columns
+        whole.unpersist()
+
+
+def test_a_written_mart_serves_fewer_columns(spark):
+    wide = stage.fact(spark, SF, "fact_conditions", ("condition_id", "patient_id", "code_code"))
+    narrow = stage.fact(spark, SF, "fact_conditions", ("code_code", "patient_id"))
+    assert narrow.columns == ["code_code", "patient_id"] and set(narrow.inputFiles()) == set(wide.inputFiles())
+
+
+def test_medications_of_requests(spark, resource_rows):
+    """A request has the catalogue entry of its own medication, or none; requests of one id are one row."""
+    request = lambda i, m, **more: {
+        "id": i, "status": "active", "subject": {"reference": "Patient/1"}, "medicationReference": {"reference": f"Medication/{m}"}, **more}
+    t = tables(spark, **flatten_all(resource_rows(
+        "MedicationRequest", request("a", "1"), request("a", "1"), request("b", "2"), request("c", "9"),
+        request("d", "1", status="cancelled")), "MedicationRequest"),
+        **flatten_all(resource_rows("Medication", {"id": "1", "status": "active", "code": {"text": "one"}}, {"id": "2", "code": {"text": "two"}}), "Medication"))
+    df = facts.medication_requests(t)
+    rows = dicts(df, "medication_request_id")
+    assert [(r["medication_request_id"], r["medication_name"], r["medication_status"], r["medication_id"]) for r in rows] == [
+        ("a", "one", "active", "1"), ("b", "two", None, "2"), ("c", None, None, "9")]
+    # the wide request rows are dealt out once, by their own id
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("LeftOuter") == 0
