@@ -243,3 +243,17 @@ def test_bytes_written_follow_the_increment(spark, resource_rows, tmp_path):
     assert written(3) <= written(2) < written(1) / 2
     rows = {g: sum(target.written(g, t).count() for t in target.tables) for g in (1, 2, 3)}
     assert rows[2] == 2 * rows[3] and rows[1] > 1000 * rows[2]
+
+
+def test_a_second_run_reads_what_the_first_wrote(spark):
+    """The newest lines are sorted once, not once for each use in the plan of the second run."""
+    from conftest import SF
+
+    from carelake.catalog import load_all
+    from carelake.catalog.registry import QUERIES
+
+    load_all()
+    twice = QUERIES["load_upsert_twice"](spark, SF)
+    plan = twice._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "l_orderkey" not in plan
+    assert twice.exceptAll(QUERIES["load_upsert"](spark, SF)).isEmpty() and twice.count() == QUERIES["load_upsert"](spark, SF).count()
