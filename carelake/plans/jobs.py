@@ -17,7 +17,7 @@ from carelake.operators import load, quality
 from carelake.operators.flatten import RULES, flatten, tables_of
 from carelake.plans import resources  # noqa: F401  (registers the rules)
 from carelake.operators.generations import Store
-from carelake.session import shared_folder
+from carelake.session import shared_broadcasts, shared_folder
 from carelake.sources import io, schemas
 
 
@@ -120,7 +120,8 @@ def store(spark: SparkSession, resource: str, root: str, buckets: int = 64) -> S
 
 def at_once(spark: SparkSession, run: Callable[[str], None], names: Iterable[str], most: int = 8) -> None:
     """Submit independent Spark jobs at the same time, so that small ones do not wait for each other."""
-    with ThreadPoolExecutor(most) as pool:
+    names = list(names)
+    with shared_broadcasts(spark, min(most, len(names))), ThreadPoolExecutor(most) as pool:
         list(pool.map(inheritable_thread_target(spark)(run), names))
 
 

@@ -37,3 +37,23 @@ def test_threshold_of_the_session_holds_for_measured_sizes(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def test_plans_at_once_share_their_broadcasts(spark):
+    from carelake.plans import jobs
+    from carelake.session import MEASURED, shared_broadcasts
+
+    before, seen = spark.conf.get(MEASURED, None), []
+    try:
+        spark.conf.set(MEASURED, "8m")
+        jobs.at_once(spark, lambda name: seen.append(spark.conf.get(MEASURED)), iter("abcd"), most=2)
+        assert seen == [str(4 << 20)] * 4 and spark.conf.get(MEASURED) == "8m"
+        spark.conf.set(MEASURED, "-1")
+        with shared_broadcasts(spark, 8):
+            assert spark.conf.get(MEASURED) == "-1"
+        spark.conf.unset(MEASURED)
+        with shared_broadcasts(spark, 2):
+            assert spark.conf.get(MEASURED) is not None
+        assert spark.conf.get(MEASURED, None) is None
+    finally:
+        spark.conf.set(MEASURED, before) if before is not None else spark.conf.unset(MEASURED)
