@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import Scratch, chunk_pairs, component_roots, smallest_labels, sorted_groups
+from carelake.llm.common import Scratch, chunk_pairs, component_roots, small_batches, smallest_labels, sorted_groups
 
 PIECE = 1 << 16
 
@@ -114,7 +114,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dist
            blocks: int = 7) -> DataFrame:
     """One row per document: id, ``fingerprint`` (hex), ``component_id``, ``root`` (a fingerprint naming the group)."""
     scratch = Scratch(docs.sparkSession, "simhash")
-    own = scratch.save(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), width).alias("fp")), "prints")
+    with small_batches(docs.sparkSession):
+        own = scratch.save(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), width).alias("fp")), "prints")
     prints = scratch.save(own.groupBy("fp").agg(F.min("id").alias("low")), "classes")
     edges = linked_prints(prints, scratch, distance, blocks)
     roots = component_roots(edges, scratch).withColumnRenamed("node", "fp")

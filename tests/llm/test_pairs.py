@@ -100,6 +100,41 @@ def test_near_copies_stage_takes_links_of_simhash(spark, make_docs):
     assert [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, SF).select("doc_id").orderBy("doc_id").collect()] == [0, 1, 2, 3, 4, 5, 200]
 
 
+def test_near_copies_reach_python_in_small_batches(spark, monkeypatch):
+    import corpus_pipeline
+    import pandas as pd
+    from carelake.llm import near_copies
+
+    text = F.expr("concat_ws(' ', transform(sequence(1, 6), x -> concat(x, '-', id % 700)))")
+    docs = spark.range(0, 1500, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, signatures, prints = spark.conf.get(setting), near_copies._signatures, simhash.fingerprint_of
+
+    def bounded(*args):
+        run = signatures(*args)
+
+        def checked(batches):
+            for batch in batches:
+                if batch.num_rows > 512:
+                    raise ValueError(f"{batch.num_rows} rows at once")
+                yield from run([batch])
+
+        return checked
+
+    def column(text, width=4):
+        def run(texts: pd.Series) -> pd.Series:
+            if len(texts) > 512:
+                raise ValueError(f"{len(texts)} rows at once")
+            return pd.Series(np.array([prints(t, width) for t in texts], np.uint64).view(np.int64))
+
+        return F.pandas_udf(run, "long")(text.cast("binary"))
+
+    monkeypatch.setattr(near_copies, "_signatures", bounded)
+    monkeypatch.setattr(simhash, "fingerprint", column)
+    assert near_copies.drop(docs, candidates=corpus_pipeline.simhash_keys(docs)).count() == 700
+    assert spark.conf.get(setting) == before
+
+
 def test_near_copies_of_hot_keys_and_odd_rows(spark, make_docs):
     """Texts that share a key with the first class but are not like it, over several blocks; very long, repeated and clashing rows."""
     from carelake.llm import near_copies
