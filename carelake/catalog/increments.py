@@ -24,6 +24,7 @@ from carelake.operators.flatten import tables_of
 from carelake.operators.generations import Store
 from carelake.plans import jobs
 from carelake.session import shared_folder
+from carelake.sources import bridge
 
 _MAIN, _CHILDREN = tables_of("Observation")
 _stores: dict[tuple[str, str], Store] = {}
@@ -35,17 +36,17 @@ def _shifted(days: int) -> Column:
 
 
 def _kinds(spark: SparkSession, sf: str) -> DataFrame:
-    """Observations with the kind of event they come from."""
-    events = spark.read.parquet(f"{sf}/events.parquet")
-    number = F.get_json_object("props", "$.k").cast("int")
-    kinds = events.select(F.col("event_id").alias("number"), F.col("event_type").alias("kind"), number.alias("k"))
-    return stage.resource(spark, sf, "Observation").withColumn("number", F.regexp_extract("id", "([0-9]+)$", 1).cast("long")).join(kinds, "number")
+    """Observations with the number of their event and its kind, which meet them while they are flat."""
+    events = bridge.load(spark, sf, "events")
+    kinds = events.select(F.col("event_id").alias("number"), F.col("event_type").alias("kind"))
+    number = F.regexp_extract(F.col("event_id").cast("string"), "([0-9]+)$", 1).cast("long")
+    return bridge.observation_of(events.withColumn("number", number).join(kinds, "number"), "number", "kind")
 
 
 def increments(spark: SparkSession, sf: str) -> list[DataFrame]:
     """The sources of the four loads."""
     rows = _kinds(spark, sf)
-    columns = [c for c in rows.columns if c not in ("number", "kind", "k")]
+    columns = [c for c in rows.columns if c not in ("number", "kind")]
     note = rows.schema["note"].dataType.elementType
     rechecked = F.array(F.struct(*[(F.lit("rechecked") if f.name == "text" else F.lit(None)).cast(f.dataType).alias(f.name) for f in note]))
     late = F.col("number") % 10 == 9
@@ -166,7 +167,7 @@ _CHILD_ROWS = "(CASE event_type WHEN 'purchase' THEN 10 WHEN 'signup' THEN 9 ELS
 def _(spark, sf):
     """Statistics of a load over a loaded store, observed while it writes."""
     rows = _kinds(spark, sf)
-    columns = [c for c in rows.columns if c not in ("number", "kind", "k")]
+    columns = [c for c in rows.columns if c not in ("number", "kind")]
     target = jobs.store(spark, "Observation", f"{shared_folder(spark)}/carelake/stores/{uuid.uuid4().hex}", buckets=8).create()
     jobs.load_increment("Observation", rows.filter("number % 10 <> 9").select(*columns), target, stage.AS_OF)
     purchases = rows.filter("kind = 'purchase'")

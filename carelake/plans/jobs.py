@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions import columns as C
 from carelake.operators import load, quality
-from carelake.operators.flatten import RULES, flatten, tables_of
+from carelake.operators.flatten import RULES, flatten, makes_row, tables_of
 from carelake.plans import resources  # noqa: F401  (registers the rules)
 from carelake.operators.generations import Store
 from carelake.session import shared_broadcasts, shared_folder
@@ -154,7 +155,9 @@ def load_increment(
 
     The steps are those of :func:`load_resource`, but only accepted rows, their
     children and the replaced or retracted keys are written.  The newest versions
-    are written once below the store and read back by main and child tables.  Only versions
+    are written once below the store and read back by main and child tables.  Nested rows
+    whose id comes once are their newest version and are not shuffled: the ids that
+    come more than once are found first, from the ids alone.  Only versions
     of incoming keys are looked up: the target is reduced to them before it is
     shuffled.  A ``batch`` that was committed before changes nothing and gives None.
 
@@ -174,13 +177,24 @@ def load_increment(
     if "status" in source.columns:
         wrong = F.coalesce(F.col("status") == "entered-in-error", F.lit(False))
 
-    seen = {name: Observation(f"{name}-{gen}") for name in ("live", "past_mark", "newest", "main", *children)}
-    live = io.sample_rows(load.drop_deleted(source, "id", delete_flag), sample).observe(seen["live"], count.alias("n"))
+    seen = {name: Observation(f"{name}-{gen}") for name in ("newest", "main", *children)}
     mark = None if backdate_days is None else load.bookmark(existing, "meta_last_updated", backdate_days)
-    rows = load.after_bookmark(live, mark, keep_unreadable=True).observe(seen["past_mark"], count.alias("n"))
-    newest = load.latest_version(rows, "id", C.parse_timestamp(F.col("meta.lastUpdated")))
+    time, path = C.parse_timestamp(F.col("meta.lastUpdated")), f"{target.root}/input/gen={gen}"
+
+    def counted(part: str, live: DataFrame) -> DataFrame:
+        seen[f"live-{part}"], seen[f"past_mark-{part}"] = Observation(f"live-{part}-{gen}"), Observation(f"past_mark-{part}-{gen}")
+        live = live.observe(seen[f"live-{part}"], count.alias("n"))
+        return load.after_bookmark(live, mark, keep_unreadable=True).observe(seen[f"past_mark-{part}"], count.alias("n"))
+
+    if sample is None:
+        ids, repeated_path = load.repeated_keys(source, "id", delete_flag), f"{target.root}/input/repeated/gen={gen}"
+        io.full_refresh(ids, repeated_path)
+        alone, several, nameless = load.split_repeated(source, spark.read.schema(ids.schema).parquet(repeated_path), "id", delete_flag)
+        parts = [load.latest_version(counted(n, df), "id", time) for n, df in (("several", several), ("nameless", nameless))]
+        newest = reduce(DataFrame.unionByName, parts, counted("alone", alone))
+    else:
+        newest = load.latest_version(counted("all", io.sample_rows(load.drop_deleted(source, "id", delete_flag), sample)), "id", time)
     newest = newest.observe(seen["newest"], count.alias("n"), F.count_if(wrong).alias("retracted"))
-    path = f"{target.root}/input/gen={gen}"
     with _whole_plans(spark):
         io.full_refresh(newest, path)
         newest = spark.read.schema(newest.schema).parquet(path)
@@ -196,17 +210,21 @@ def load_increment(
             target.write_keys(gen, accepted.unionByName(newest.filter(wrong).select(F.col("id").alias(key))))
 
         def write_child(table: str) -> None:
-            incoming = flatten(good, table, as_of).join(accepted, key, "left_semi").observe(seen[table], count.alias("n"))
-            target.write_rows(gen, table, incoming)
+            if gen > 1:
+                incoming = flatten(good, table, as_of).join(accepted, key, "left_semi")
+            else:  # every row of the main table was accepted
+                incoming = flatten(good.filter(makes_row(main)), table, as_of)
+            target.write_rows(gen, table, incoming.observe(seen[table], count.alias("n")))
 
         at_once(spark, write_child, children)
 
     main_counts, newest_counts = seen["main"].get, seen["newest"].get
     kept = main_counts["valid"] - main_counts["skipped"]
     child_rows = sum(seen[t].get["n"] for t in children)
+    live, past_mark = (sum(seen[n].get["n"] for n in seen if n.startswith(step)) for step in ("live-", "past_mark-"))
     statistics = {
-        "source_rows": seen["live"].get["n"], "behind_mark": seen["live"].get["n"] - seen["past_mark"].get["n"],
-        "distinct_rows": newest_counts["n"], "duplicates_removed": seen["past_mark"].get["n"] - newest_counts["n"],
+        "source_rows": live, "behind_mark": live - past_mark,
+        "distinct_rows": newest_counts["n"], "duplicates_removed": past_mark - newest_counts["n"],
         "retracted": newest_counts["retracted"], "invalid": newest_counts["n"] - newest_counts["retracted"] - main_counts["valid"],
         "kept": kept, **{a: main_counts[a] for a in ACTIONS}, "child_rows": child_rows,
         "expansion_ratio": (kept + child_rows) / kept if kept else None,

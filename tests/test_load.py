@@ -198,6 +198,30 @@ def test_increments_equal_rewritten_tables(spark, resource_rows, tmp_path):
     assert target.read("observation_notes", upto=1).filter("observation_id = '1'").count() == 3
 
 
+def test_rows_of_keys_that_come_once_are_split_off(spark, tmp_path):
+    """The parts are the rows without deleted ids, whatever repeats, is flagged or has no id, also if the repeated ids are many."""
+    ddl = "id string, isDelete boolean, v int"
+    rows = [("a", False, 1), ("b", True, 2), ("c", False, 3), ("c", None, 3), ("d", False, 4), ("d", True, 5), ("e", None, 6), (None, True, 7), (None, False, 8), (None, None, 8)]
+    source = frame(spark, *rows, ddl=ddl)
+    for threshold in ("64k", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        parts = load.split_repeated(source, load.repeated_keys(source))
+        found = [sorted(map(tuple, df.collect()), key=str) for df in parts]
+        assert found == [[("a", False, 1), ("e", None, 6)], [("c", False, 3), ("c", None, 3)], [(None, False, 8), (None, None, 8), (None, True, 7)]]
+        assert sorted(sum(found, []), key=str) == sorted(map(tuple, load.drop_deleted(source).collect()), key=str)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+
+
+def test_increments_meet_their_events_while_they_are_flat(spark):
+    from conftest import SF
+
+    from carelake.catalog import increments, load_all
+
+    load_all()
+    plan = increments.increments(spark, SF)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "referenceRange" not in plan.split("Join", 1)[1]
+
+
 def test_compaction_keeps_the_live_rows(spark, tmp_path):
     ddl = "id string, v int"
     target = Store(spark, str(tmp_path / "store"), {"main": frame(spark, ddl=ddl).schema, "child": frame(spark, ddl=ddl).schema}, "id", 4).create()
