@@ -240,3 +240,26 @@ def test_medications_of_requests(spark, resource_rows):
         ("a", "one", "active", "1"), ("b", "two", None, "2"), ("c", None, None, "9")]
     # the wide request rows are dealt out once, by their own id
     assert df._jdf.queryExecution().optimizedPlan().toString().count("LeftOuter") == 0
+
+
+def test_requests_are_dealt_without_what_follows_from_other_fields(spark, resource_rows, monkeypatch):
+    """Texts and names are derived after the rows of a request have met; the lists are sorted and distinct as before."""
+    dosage = [{"text": t, "timing": {"repeat": {"frequency": n}}} for t, n in (("b\\c", 2), ("b\\c", 1), ("b\\c", 2), ("a\u0001", 1), ("a", 1))]
+    request = {"id": "1", "status": "active", "subject": {"reference": "Patient/1"}, "medicationReference": {"reference": "Medication/m"},
+               "dosageInstruction": dosage}
+    t = tables(spark, **flatten_all(resource_rows("MedicationRequest", request), "MedicationRequest"),
+               **flatten_all(resource_rows("Medication", {"id": "m", "code": {"text": "Drug"}}), "Medication"))
+    dealt, assemble = {}, nest.assemble
+
+    def spied(*args, **options):
+        dealt.update({n: df.schema["item"].dataType.fieldNames() for n, df in options["sets"].items()})
+        return assemble(*args, **options)
+
+    monkeypatch.setattr(nest, "assemble", spied)
+    row = dicts(facts.medication_requests(t, "2024-02-01"))[0]
+    assert "text" not in dealt["_dosage"] and "medication_name" not in dealt["_catalogue"]
+    assert [(d["text"], d["timing"]["frequency"], d["asNeeded"]) for d in row["dosage_instructions"]] == [
+        ("a", 1, None), ("b\\\\c", 1, None), ("b\\\\c", 2, None)]
+    assert list(row["dosage_instructions"][0]) == ["text", "timing", "route", "dose", "asNeeded"]
+    assert (row["dosage_instruction_count"], row["medication_name"], row["medication_primary_text"]) == (3, "Drug", "Drug")
+    assert not {"o_orderkey", "p_partkey"} & set(stage.bridge.rows(spark, SF, "prescriptions").columns)
